@@ -1,4 +1,4 @@
 """Query plans: each module registers (Spark builder, oracle SQL) pairs."""
 
-from verdant.plans import q_segments  # noqa: F401
+from verdant.plans import q_keyed, q_segments  # noqa: F401
 from verdant.plans.registry import ORACLE, QUERIES  # noqa: F401
