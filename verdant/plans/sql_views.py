@@ -88,11 +88,12 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
   FROM lineitem"""),
     "places": ((), """
   SELECT s_suppkey AS place_id, s_name AS title,
-         37.2 + ((s_suppkey * 7) % 60) * 0.01 AS lat, 126.5 + (s_suppkey % 100) * 0.01 AS lng,
+         37.2::DOUBLE + ((s_suppkey * 7) % 60) * 0.01::DOUBLE AS lat,
+         126.5::DOUBLE + (s_suppkey % 100) * 0.01::DOUBLE AS lng,
          'zerowasteshop' AS kind FROM supplier
   UNION ALL
-  SELECT c_custkey, c_name, 37.2 + ((c_custkey * 7) % 60) * 0.01,
-         126.5 + (c_custkey % 100) * 0.01, 'recyclebox' FROM customer"""),
+  SELECT c_custkey, c_name, 37.2::DOUBLE + ((c_custkey * 7) % 60) * 0.01::DOUBLE,
+         126.5::DOUBLE + (c_custkey % 100) * 0.01::DOUBLE, 'recyclebox' FROM customer"""),
     "products": ((), """
   SELECT p_partkey AS doc_id, p_name AS title, p_type AS volume, p_retailprice AS price_unit
   FROM part"""),
