@@ -21,7 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import GroupState, GroupStateTimeout, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from verdant.functions import scalars as S
 from verdant.operators import points as pt
@@ -104,11 +105,11 @@ QUOTA_OUT = T.StructType([
     T.StructField("verdict", T.StringType()),
 ])
 QUOTA_STATE = T.StructType([
-    T.StructField("day", T.DateType()),
-    T.StructField("count", T.IntegerType()),
-    T.StructField("pic_time", T.TimestampType()),
+    T.StructField("day", T.StringType()),       # calendar day of the cached count
+    T.StructField("count", T.IntegerType()),    # accepted uploads that day
+    T.StructField("pic", T.LongType()),         # capture time of the last accepted, micros
 ])
-STATE_TTL_MS = 86400 * 1000
+STATE_TTL_MS = 86400 * 1000   # the cache entry lives one day after its last write
 
 
 def _quota(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -123,32 +124,36 @@ def _quota(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[p
     pdf = pd.concat(list(frames), ignore_index=True).sort_values(["ts", "event_id"])
     for r in pdf.itertuples(index=False):
         cap = S.DAILY_CAP[int(r.service)]
-        same_day = day is not None and day == r.day
-        verdict = r._pre
+        r_day = str(r.day)
+        r_pic = None if pd.isna(r.pic_time) else int(pd.Timestamp(r.pic_time).value // 1000)
+        same_day = day == r_day
+        verdict = None if pd.isna(r.pre_code) else r.pre_code
         if verdict is None and same_day:
-            if int(r.service) == 1 and count == 1 and last_pic == r.pic_time:
+            if int(r.service) == 1 and count == 1 and last_pic == r_pic:
                 verdict = "ImgDuplicated"
             elif count >= cap:
                 verdict = "OverCount"
-        if verdict is None:
-            verdict = r._post
+        if verdict is None and not pd.isna(r.post_code):
+            verdict = r.post_code
         if verdict is None:
             verdict = pt.ACCEPTED
             count = count + 1 if same_day else 1
-            day, last_pic = r.day, r.pic_time
+            day, last_pic = r_day, r_pic
         out.append((int(r.event_id), int(r.member_id), int(r.service), verdict))
     if day is not None:
         state.update((day, count, last_pic))
-        state.setTimeoutDuration(STATE_TTL_MS)
+        last_ms = int(pd.Timestamp(pdf["ts"].max()).value // 10**6)
+        state.setTimeoutTimestamp(max(last_ms + STATE_TTL_MS, state.getCurrentWatermarkMs() + 1))
     yield pd.DataFrame(out, columns=["event_id", "member_id", "service", "verdict"])
 
 
-def quota_stream(uploads: DataFrame) -> DataFrame:
+def quota_stream(uploads: DataFrame, watermark: str = "1 hour") -> DataFrame:
     """Upload verdicts of a stream of service-1 uploads (R1 with W11 state).
     The stateless codes are plain columns; only the per-member history runs
-    in Python, one small state row per (member, service)."""
-    coded = uploads.select(
+    in Python, one small state row per (member, service), dropped by an
+    event-time timeout one day after its last write."""
+    coded = uploads.withWatermark("ts", watermark).select(
         "event_id", "member_id", "service", "ts", "day", "pic_time",
-        pt.upload_pre().alias("_pre"), pt.upload_post().alias("_post"))
+        pt.upload_pre().alias("pre_code"), pt.upload_post().alias("post_code"))
     return coded.groupBy("member_id", "service").applyInPandasWithState(
-        _quota, QUOTA_OUT, QUOTA_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+        _quota, QUOTA_OUT, QUOTA_STATE, "append", GroupStateTimeout.EventTimeTimeout)
