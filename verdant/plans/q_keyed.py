@@ -78,9 +78,9 @@ WHERE field NOT IN ({SKIP_SQL})""", "logs"))
 def q_redact_fields(spark, d):
     logs = fx.logs(spark, d)
     payload = F.create_map(*[x for c in REDACT_INPUT for x in (F.lit(c), F.col(c))])
-    red = logs.select("event_id", S.redact(payload).alias("payload"))
-    return red.select("event_id", F.explode("payload").alias("field", "value")) \
-              .filter(F.col("value").isNotNull())
+    fields = env.payload_fields(logs.select("event_id", payload.alias("payload")), "payload",
+                                keep=("event_id",))
+    return fields.filter(F.col("value").isNotNull())
 
 
 @register("union_topics", with_views("\nUNION ALL BY NAME\n".join(

@@ -152,6 +152,15 @@ def decoded_only(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col("env.fields.key").isNotNull())
 
 
+def payload_fields(df: DataFrame, payload: str, keep: tuple[str, ...] = (),
+                   skip=S.PAYLOAD_SKIP_FIELDS) -> DataFrame:
+    """P24 in long form: one row per (field, value) of a payload map, reserved
+    and secret fields dropped. A plain ``isin`` after the explode stays in
+    generated code (``redact`` is the map-to-map form)."""
+    long = df.select(*keep, F.explode(payload).alias("field", "value"))
+    return long.filter(~F.col("field").isin(list(dict.fromkeys(skip))))
+
+
 def click_payload(df: DataFrame) -> DataFrame:
     """Each row as one JSON text column ``value`` (nulls written as null)."""
     return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
