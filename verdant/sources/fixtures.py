@@ -63,12 +63,27 @@ LOG_COLUMNS = ["event_id", "ts", "k", "member_id", "user_gender", "user_age",
 def logs(spark: SparkSession, data_dir: str) -> DataFrame:
     ev = table(spark, data_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", _k(F.col("props")).alias("k"))
-    mem = members(spark, data_dir).select(
-        F.col("user_id").alias("m_user_id"), "member_id", "gender_kb", "age", "region_kb")
+    # Joined to the raw dimension scans (not to the derived member table), so
+    # Catalyst sizes each side from its files: small sides are broadcast,
+    # a large customer table is sort-merge joined with AQE skew splitting.
+    c = table(spark, data_dir, "customer").select("c_custkey", "c_nationkey")
+    n = table(spark, data_dir, "nation").select("n_nationkey", "n_regionkey")
+    r = table(spark, data_dir, "region").select("r_regionkey", "r_name")
     part = table(spark, data_dir, "part").select("p_partkey", "p_name", "p_size",
                                                  "p_retailprice")
-    j = ev.join(mem, ev.user_id == mem.m_user_id, "left") \
-          .join(part, ev.k == part.p_partkey, "left")
+    j = (ev.join(c, ev.user_id == c.c_custkey, "left")
+           .join(n, F.col("c_nationkey") == n.n_nationkey, "left")
+           .join(r, F.col("n_regionkey") == r.r_regionkey, "left")
+           .join(part, ev.k == part.p_partkey, "left"))
+    # A member exists when the customer -> nation -> region chain is complete
+    # (the inner joins of ``members``).
+    found = F.col("r_regionkey").isNotNull()
+    age = (F.lit(15) + (F.col("c_custkey") * 7) % 60).cast("int")
+    j = j.select("*",
+                 F.when(found, F.col("c_custkey").cast("string")).alias("member_id"),
+                 F.when(found, F.when(F.col("c_custkey") % 2 == 0, "W").otherwise("M")).alias("gender_kb"),
+                 F.when(found, age).alias("age"),
+                 F.when(found, F.col("r_name")).alias("region_kb"))
     k, et = F.col("k"), F.col("event_type")
     even = (k % 2 == 0)
     key = (F.when(et == "signup", "login")
