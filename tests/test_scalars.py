@@ -120,3 +120,7 @@ def test_bounding_box_contains_circle():
                 assert abs(math.degrees(la2) - lat) <= dlat
                 if dlng is not None:
                     assert abs(math.degrees(dl)) <= dlng
+
+
+def test_gender_label(spark):
+    assert _one(spark, S.gender_label("x"), ["M", "W"]) == ["남성", "여성"]

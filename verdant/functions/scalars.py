@@ -64,6 +64,7 @@ SESSION_GAP_SECONDS = 1800
 UPLOAD_LIMIT_BYTES = 16 * 2 ** 20
 DETECTION_THRESHOLD = 0.5
 DAILY_CAP = {1: 2, 2: 1}         # accepted uploads per member, day and service
+GENDER_LABELS = {"M": "남성", "W": "여성"}   # display labels of the gender codes
 
 
 def _c(col) -> Column:
@@ -108,6 +109,11 @@ def gender_norm(gender) -> Column:
     return F.when(g == VISITOR, F.lit(SEARCH_VISITOR_GENDER)).otherwise(g)
 
 
+def gender_label(gender) -> Column:
+    """Display label of a member gender code (anything but M is W's label)."""
+    return F.when(_c(gender) == "M", GENDER_LABELS["M"]).otherwise(GENDER_LABELS["W"])
+
+
 def logged_age(birth_dt, as_of) -> Column:
     """Age written into the logs: year(as_of) - birth year + 1."""
     birth_year = F.substring(_c(birth_dt), 1, 4).try_cast("int")

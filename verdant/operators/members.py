@@ -2,12 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdant.functions import scalars as S
 
 
+def enrich_events(events: DataFrame, members: DataFrame, as_of: str,
+                  visitor: Column | None = None, id_col: str = "user_id") -> DataFrame:
+    """Events with the member attributes the logs carry (gender, logged
+    age as text, region). Visitors and ids without a member get ``none``.
+    No hint: the planner broadcasts the member side only when its size
+    estimate allows, else both sides shuffle on the id (AQE splits hot ids)."""
+    m = members.select(F.col("user_id").alias("_uid"), "member_id", "gender_kb", "region_kb",
+                       S.logged_age("birth_dt", F.lit(as_of).cast("date")).alias("_age"))
+    j = events.join(m, F.col(id_col) == F.col("_uid"), "left")
+    anon = F.col("_uid").isNull() if visitor is None else (visitor | F.col("_uid").isNull())
+
+    def field(c: Column) -> Column:
+        return F.when(anon, F.lit(S.VISITOR)).otherwise(c)
+
+    return j.select("event_id", id_col,
+                    field(F.col("member_id")).alias("member_id"),
+                    field(F.col("gender_kb")).alias("user_gender"),
+                    field(F.col("_age").cast("string")).alias("user_age"),
+                    field(F.col("region_kb")).alias("user_region"))
+
+
 def member_age(members: DataFrame, as_of: str) -> DataFrame:
     """P20: the age written into the logs at ``as_of``."""
     return members.select("member_id", "birth_dt",

@@ -174,6 +174,21 @@ def q_member_age(spark, d):
     return mb.member_age(fx.members(spark, d), AS_OF_DAY)
 
 
+@register("enrich_events", with_views(f"""
+SELECT e.event_id, e.user_id,
+  CASE WHEN e.user_id % 10 = 0 OR m.user_id IS NULL THEN 'none' ELSE m.member_id END AS member_id,
+  CASE WHEN e.user_id % 10 = 0 OR m.user_id IS NULL THEN 'none' ELSE m.gender_kb END AS user_gender,
+  CASE WHEN e.user_id % 10 = 0 OR m.user_id IS NULL THEN 'none'
+       ELSE CAST(CAST(year(DATE '{AS_OF_DAY}') - TRY_CAST(substr(m.birth_dt, 1, 4) AS INTEGER) + 1
+                      AS INTEGER) AS VARCHAR) END AS user_age,
+  CASE WHEN e.user_id % 10 = 0 OR m.user_id IS NULL THEN 'none' ELSE m.region_kb END AS user_region
+FROM events e LEFT JOIN members m ON e.user_id = m.user_id""", "members"))
+def q_enrich_events(spark, d):
+    events = table(spark, d, "events").select("event_id", "user_id")
+    return mb.enrich_events(events, fx.members(spark, d), AS_OF_DAY,
+                            visitor=F.col("user_id") % 10 == 0)
+
+
 @register("member_total", with_views("""
 SELECT member_id, CAST(sum(point_amt) AS BIGINT) AS total FROM ledger GROUP BY 1""", "ledger"))
 def q_member_total(spark, d):
