@@ -52,29 +52,45 @@ def member_events(logs: DataFrame, time_col: str = "ts") -> DataFrame:
         "member_id", F.col(time_col).alias("ts"), "event_id", "key")
 
 
+BUCKET_SECONDS = {"hour": 3600, "day": 86400}
+
+
 def sessionize(events: DataFrame, bucket_unit: str = "hour") -> DataFrame:
-    """Each event with ``session_start`` (a new session begins when more than
-    the gap passed since the member's previous event; exactly the gap stays)
-    and ``prev`` (the previous event)."""
-    e = adjacent(events, ["member_id"], ["ts", "event_id"], [], "prev", "prev",
-                 bucket_unit=bucket_unit)
-    new = F.col("prev").isNull() | (F.col("ts") > F.col("prev.ts") + gap())
-    e = e.withColumn("_new", new)
+    """Each event with ``session_start``: a new session begins when more than
+    the gap passed since the member's previous event (exactly the gap stays).
+
+    Only a previous event within the gap matters, and with buckets at least
+    the gap long it lies in the same bucket or in the last ``gap`` of the
+    previous one. Those events are copied into the next bucket as context
+    rows, so one (member, bucket) window finds every session start. The
+    running start then crosses bucket edges through the per-bucket table.
+    """
+    if BUCKET_SECONDS.get(bucket_unit, 0) < S.SESSION_GAP_SECONDS:
+        raise ValueError("bucket must be at least as long as the session gap")
+    step = F.make_dt_interval(secs=F.lit(BUCKET_SECONDS[bucket_unit]))
+    real = events.withColumn("_bucket", _bucket("ts", bucket_unit)) \
+                 .withColumn("_ctx", F.lit(False))
+    nxt = F.col("_bucket") + step
+    ctx = real.filter(F.col("ts") >= nxt - gap()) \
+              .withColumn("_bucket", nxt).withColumn("_ctx", F.lit(True))
+    rows = real.unionByName(ctx)
+    w = Window.partitionBy("member_id", "_bucket").orderBy("ts", "event_id")
+    prev_ts = F.lag("ts").over(w)
+    rows = rows.withColumn("_new", prev_ts.isNull() | (F.col("ts") > prev_ts + gap())) \
+               .filter(~F.col("_ctx"))
     start_if_new = F.when(F.col("_new"), F.col("ts"))
-    w = Window.partitionBy("member_id", "_bucket").orderBy("ts", "event_id") \
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = F.max(start_if_new).over(w)
-    last_start = e.groupBy("member_id", "_bucket").agg(F.max(start_if_new).alias("_ls"))
+    local = F.max(start_if_new).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.withColumn("_local", local)
+    last_start = rows.groupBy("member_id", "_bucket").agg(F.max(start_if_new).alias("_ls"))
     bw = Window.partitionBy("member_id").orderBy("_bucket") \
                .rowsBetween(Window.unboundedPreceding, -1)
     carried = last_start.select("member_id", "_bucket", F.max("_ls").over(bw).alias("_carried"))
-    e = e.withColumn("_local", local).join(carried, ["member_id", "_bucket"], "left")
-    return e.withColumn("session_start", F.coalesce("_local", "_carried")) \
-            .drop("_local", "_carried", "_bucket")
+    out = rows.join(carried, ["member_id", "_bucket"], "left")
+    return out.withColumn("session_start", F.coalesce("_local", "_carried")) \
+              .drop("_local", "_carried", "_bucket", "_ctx", "_new")
 
 
-def session_windows(logs: DataFrame, time_col: str = "ts", bucket_unit: str = "hour") -> DataFrame:
-    """One row per session: start, last activity, expiry, events, last key."""
+def _sessions(logs: DataFrame, time_col: str, bucket_unit: str) -> DataFrame:
     e = sessionize(member_events(logs, time_col), bucket_unit)
     last = F.max(F.struct("ts", "event_id", "key"))
     s = e.groupBy("member_id", "session_start").agg(
@@ -87,22 +103,23 @@ def session_windows(logs: DataFrame, time_col: str = "ts", bucket_unit: str = "h
                     F.col("_last.event_id").alias("last_event_id"))
 
 
+def session_windows(logs: DataFrame, time_col: str = "ts", bucket_unit: str = "hour") -> DataFrame:
+    """One row per session: start, last activity, expiry, events, last key."""
+    return _sessions(logs, time_col, bucket_unit)
+
+
 def session_expired(logs: DataFrame, time_col: str = "ts", bucket_unit: str = "hour") -> DataFrame:
     """Sessions not closed by a logout get a synthetic ``SessionExpired``
-    logout. ``observed_at`` is when the expiry would be noticed: the member's
-    next event (null when none follows)."""
-    e = sessionize(member_events(logs, time_col), bucket_unit)
-    last = F.max(F.struct("ts", "event_id", "key"))
-    s = e.groupBy("member_id", "session_start").agg(last.alias("_last"))
-    s = s.filter(F.col("_last.key") != "logout")
-    nxt = e.filter(F.col("prev").isNotNull() & (F.col("ts") == F.col("session_start"))) \
-           .select(F.col("member_id").alias("_m"), F.col("prev.event_id").alias("_prev_id"),
-                   F.col("ts").alias("observed_at"))
-    j = s.join(nxt, (F.col("member_id") == F.col("_m")) &
-               (F.col("_last.event_id") == F.col("_prev_id")), "left")
-    return j.select("member_id", "session_start", F.col("_last.ts").alias("session_end"),
-                    (F.col("_last.ts") + gap()).alias("expires_at"), "observed_at",
-                    F.lit("SessionExpired").alias("logout_method"))
+    logout. ``observed_at`` is when the expiry would be noticed: the start of
+    the member's next session (null when none follows), found on the sessions
+    table with the bucketed neighbour search."""
+    s = _sessions(logs, time_col, bucket_unit)
+    s = adjacent(s, ["member_id"], ["session_start"], [], "next", "next",
+                 ts="session_start", bucket_unit=bucket_unit)
+    return s.filter(F.col("last_key") != "logout").select(
+        "member_id", "session_start", "session_end", "expires_at",
+        F.col("next.session_start").alias("observed_at"),
+        F.lit("SessionExpired").alias("logout_method"))
 
 
 def seconds_between(start, end) -> Column:
