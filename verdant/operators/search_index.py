@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdant.session import checkpoint_dir
+from verdant.sources.tables import spread
 
 K1 = 1.2
 B = 0.75
@@ -38,10 +39,9 @@ def tokens(text) -> Column:
 
 
 def balance(df: DataFrame) -> DataFrame:
-    """Spread a small input over all cores before CPU-heavy per-row text work.
-    Large inputs already scan as many splits, and are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Spread a small input over all cores before CPU-heavy per-row text work
+    (see ``verdant.sources.tables.spread``)."""
+    return spread(df)
 
 
 def catalog_clean(raw: DataFrame, key: Sequence[str] = ("title", "volume")) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdant.functions import scalars as S
-from verdant.sources.tables import table
+from verdant.sources.tables import fact_table, table
 
 # Fixed adapter parameters (FIXTURES.md §2).
 LOGS_AS_OF = "2024-01-16 05:00:00"   # click lookback ends 5 h before this
@@ -61,8 +61,9 @@ LOG_COLUMNS = ["event_id", "ts", "k", "member_id", "user_gender", "user_age",
 
 
 def logs(spark: SparkSession, data_dir: str) -> DataFrame:
-    ev = table(spark, data_dir, "events").select(
-        "event_id", "ts", "user_id", "event_type", _k(F.col("props")).alias("k"))
+    ev = fact_table(spark, data_dir, "events", "event_id", "ts", "user_id", "event_type",
+                    "props").select("event_id", "ts", "user_id", "event_type",
+                                    _k(F.col("props")).alias("k"))
     # Joined to the raw dimension scans (not to the derived member table), so
     # Catalyst sizes each side from its files: small sides are broadcast,
     # a large customer table is sort-merge joined with AQE skew splitting.
@@ -126,8 +127,9 @@ def logs(spark: SparkSession, data_dir: str) -> DataFrame:
 # uploads (eco-point service 1) and receipts (service 2)
 # ---------------------------------------------------------------------------
 def uploads(spark: SparkSession, data_dir: str) -> DataFrame:
-    ev = table(spark, data_dir, "events").select(
-        "event_id", "ts", "user_id", "event_type", _k(F.col("props")).alias("k"))
+    ev = fact_table(spark, data_dir, "events", "event_id", "ts", "user_id", "event_type",
+                    "props").select("event_id", "ts", "user_id", "event_type",
+                                    _k(F.col("props")).alias("k"))
     k = F.col("k")
     day_start = F.date_trunc("day", F.col("ts"))
     pic_time = (F.when(k % 7 == 0, F.lit(None))
@@ -148,8 +150,9 @@ def uploads(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def receipts(spark: SparkSession, data_dir: str) -> DataFrame:
-    ev = table(spark, data_dir, "events").select(
-        "event_id", "ts", "user_id", "event_type", _k(F.col("props")).alias("k"))
+    ev = fact_table(spark, data_dir, "events", "event_id", "ts", "user_id", "event_type",
+                    "props").select("event_id", "ts", "user_id", "event_type",
+                                    _k(F.col("props")).alias("k"))
     docs = table(spark, data_dir, "documents").select("doc_id", "text")
     r = ev.filter((F.col("event_type") == "purchase") & (F.col("k") % 2 == 1))
     j = r.join(docs, r.k == docs.doc_id, "left")
@@ -175,7 +178,7 @@ def results(spark: SparkSession, data_dir: str) -> DataFrame:
 # ledger, photos, places, products
 # ---------------------------------------------------------------------------
 def ledger(spark: SparkSession, data_dir: str) -> DataFrame:
-    o = table(spark, data_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    o = fact_table(spark, data_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
     return o.groupBy(
         F.col("o_custkey").alias("member_id"),
         F.date_format("o_orderdate", "yyyy-MM").alias("month_kb"),
@@ -185,8 +188,8 @@ def ledger(spark: SparkSession, data_dir: str) -> DataFrame:
 def photos(spark: SparkSession, data_dir: str) -> DataFrame:
     """One detection per lineitem; a photo is an order. Returned long (one row
     per detection); ``photo_points`` aggregates it without collecting arrays."""
-    li = table(spark, data_dir, "lineitem").select("l_orderkey", "l_linenumber",
-                                                   "l_returnflag", "l_quantity")
+    li = fact_table(spark, data_dir, "lineitem", "l_orderkey", "l_linenumber",
+                    "l_returnflag", "l_quantity")
     name = F.when(F.col("l_returnflag") == "A", "plastic") \
         .when(F.col("l_returnflag") == "R", "label").otherwise("other")
     return li.select(F.col("l_orderkey").alias("photo_id"), "l_linenumber",
