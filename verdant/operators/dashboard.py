@@ -82,13 +82,15 @@ def login_by(hourly: DataFrame, dim: str) -> DataFrame:
 
 def peak_login(hourly: DataFrame, dims: Sequence[str] = ("hour", "user_age", "user_region")) -> DataFrame:
     """A5: per day and dimension, the value with the most logins; ties go to the
-    smallest value. Each day has a handful of values per dimension, so the
-    window sorts tiny partitions."""
-    sums = None
-    for d in dims:
-        g = hourly.groupBy("date", F.col(d).cast("string").alias("value")) \
-                  .agg(_sum("login")).withColumn("dimension", F.lit(d))
-        sums = g if sums is None else sums.unionByName(g)
+    smallest value. The dimensions are stacked into (dimension, value) rows and
+    summed in one aggregation; each (day, dimension) then has a handful of
+    values, so the window sorts tiny partitions."""
+    stacked = hourly.select(
+        "date", "login",
+        F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"),
+                                     F.col(d).cast("string").alias("value"))
+                            for d in dims])).alias("d"))
+    sums = stacked.groupBy("date", "d.dimension", "d.value").agg(_sum("login"))
     w = Window.partitionBy("date", "dimension").orderBy(F.desc("login"), F.asc("value"))
     return sums.withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn")
 

@@ -13,7 +13,7 @@ from verdant.plans.q_segments import SEARCH_DAILY_SQL
 from verdant.plans.registry import register
 from verdant.plans.sql_views import with_views
 from verdant.sources import fixtures as fx
-from verdant.sources.tables import table
+from verdant.sources.tables import fact_table
 
 KW = fx.RECEIPT_FIXTURE_KEYWORDS
 LIMIT = S.UPLOAD_LIMIT_BYTES
@@ -184,7 +184,7 @@ SELECT e.event_id, e.user_id,
   CASE WHEN e.user_id % 10 = 0 OR m.user_id IS NULL THEN 'none' ELSE m.region_kb END AS user_region
 FROM events e LEFT JOIN members m ON e.user_id = m.user_id""", "members"))
 def q_enrich_events(spark, d):
-    events = table(spark, d, "events").select("event_id", "user_id")
+    events = fact_table(spark, d, "events", "event_id", "user_id")
     return mb.enrich_events(events, fx.members(spark, d), AS_OF_DAY,
                             visitor=F.col("user_id") % 10 == 0)
 
@@ -283,6 +283,6 @@ SELECT event_id, user_id,
     AS id_check
 FROM events WHERE event_type = 'signup'"""))
 def q_dup_signup(spark, d):
-    signups = table(spark, d, "events").filter(F.col("event_type") == "signup") \
-        .select("event_id", "ts", "user_id")
+    signups = fact_table(spark, d, "events", "event_id", "ts", "user_id", "event_type") \
+        .filter(F.col("event_type") == "signup").select("event_id", "ts", "user_id")
     return mb.signup_check(signups)
