@@ -83,6 +83,21 @@ def search_stream(records: DataFrame, watermark: str = "30 seconds",
                       "gender", "age", "word", F.col("count").cast("bigint").alias("count"))
 
 
+def session_stream(records: DataFrame, watermark: str = "10 minutes",
+                   time_col: str = "event") -> DataFrame:
+    """W9 as a stream: inactivity sessions per member with ``session_window``
+    (append mode: a session is emitted once the watermark passes its expiry).
+    Events exactly one gap apart stay in one session, as in the batch form;
+    ``session_end`` is the last activity (window end minus the gap)."""
+    logs = decoded_logs(records, time_col)
+    members = logs.filter(F.col("member_id") != S.VISITOR).withWatermark("ts", watermark)
+    gap = f"{S.SESSION_GAP_SECONDS} seconds"
+    agg = members.groupBy("member_id", F.session_window("ts", gap).alias("w")).agg(
+        F.count(F.lit(1)).alias("n_events"), F.max("ts").alias("session_end"))
+    return agg.select("member_id", F.col("w.start").alias("session_start"), "session_end",
+                      F.col("w.end").alias("expires_at"), "n_events")
+
+
 def start_keyed_upsert(agg: DataFrame, table: KeyedTable, name: str,
                        trigger: dict | None = None,
                        checkpoint: str | None = None) -> StreamingQuery:
