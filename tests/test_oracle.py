@@ -29,3 +29,16 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, con, name, QUERIES[name], ORACLE[name], DATA)
     assert r["ok"], r.get("error")
+
+
+@pytest.mark.parametrize("name", ["click_daily", "lookback_24h", "common_hourly", "decode_envelope",
+                                  "session_windows", "member_vs_all"])
+def test_results_do_not_depend_on_session_zone(spark, con, name):
+    # The driver's session may use any zone; event times are wall-clock values.
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        r = compare(spark, con, name, QUERIES[name], ORACLE[name], DATA)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["ok"], r.get("error")

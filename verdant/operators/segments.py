@@ -122,8 +122,11 @@ def lookback(logs: DataFrame, as_of: str, time_col: str = "ts",
              start_hours: int = 29, end_hours: int = 5) -> DataFrame:
     """``[as_of - 29 h, as_of - 5 h)``, a literal range on the time column."""
     lo, hi = lookback_bounds(as_of, start_hours, end_hours)
-    return logs.filter((F.col(time_col) >= F.lit(lo).cast("timestamp_ntz")) &
-                       (F.col(time_col) < F.lit(hi).cast("timestamp_ntz")))
+    # Text literals parsed as timestamp_ntz: independent of the session zone
+    # (a Python datetime literal would be shifted by it).
+    lo_c = F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz")
+    hi_c = F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz")
+    return logs.filter((F.col(time_col) >= lo_c) & (F.col(time_col) < hi_c))
 
 
 def click_events(logs: DataFrame, time_col: str = "ts", keep_unmatched: bool = False) -> DataFrame:
