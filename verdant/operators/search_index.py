@@ -89,6 +89,16 @@ def _per_field(stats: dict[str, tuple[int, float]], i: int) -> Column:
     return expr if expr is not None else F.lit(None)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder. Where the
+    session cannot checkpoint (no context access), the plan is used as is."""
+    try:
+        checkpoint_dir(df.sparkSession)
+    except Exception:  # noqa: BLE001 - remote session without a context
+        return df
+    return df.checkpoint()
+
+
 def document_frequency(post: DataFrame) -> DataFrame:
     return post.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
 
@@ -103,11 +113,10 @@ def bm25_search(queries: DataFrame, docs: DataFrame, fields: Sequence[str],
                 k: int = TOP_K, k1: float = K1, b: float = B,
                 score_digits: int = 6) -> DataFrame:
     """T2 + O5: top ``k`` documents per query, best field wins, ties by doc id."""
-    checkpoint_dir(docs.sparkSession)
     # The postings are the index: materialized once in the shared checkpoint
     # folder and read by the statistics, the document frequencies and the
     # scoring join, instead of re-tokenizing the corpus for each.
-    post = postings(docs, fields).checkpoint()
+    post = materialize(postings(docs, fields))
     stats = field_stats(docs, post)
     dfreq = document_frequency(post)
     n_docs, avgdl = _per_field(stats, 0), _per_field(stats, 1)

@@ -21,8 +21,12 @@ def spread(df: DataFrame) -> DataFrame:
     file with one row group, say) over all cores, so per-row work after the
     scan runs in parallel. Large inputs scan as many splits and are returned
     unchanged, so this never adds a shuffle at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): keep the plan
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def fact_table(spark: SparkSession, data_dir: str, name: str, *cols: str) -> DataFrame:
