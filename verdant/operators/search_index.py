@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdant.session import checkpoint_dir
+from verdant.session import materialize
 from verdant.sources.tables import spread
 
 K1 = 1.2
@@ -89,16 +89,6 @@ def _per_field(stats: dict[str, tuple[int, float]], i: int) -> Column:
     return expr if expr is not None else F.lit(None)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder. Where the
-    session cannot checkpoint (no context access), the plan is used as is."""
-    try:
-        checkpoint_dir(df.sparkSession)
-    except Exception:  # noqa: BLE001 - remote session without a context
-        return df
-    return df.checkpoint()
-
-
 def document_frequency(post: DataFrame) -> DataFrame:
     return post.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
 

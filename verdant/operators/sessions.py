@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdant.functions import scalars as S
+from verdant.session import materialize
 
 
 def gap() -> Column:
@@ -48,8 +49,10 @@ def adjacent(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def member_events(logs: DataFrame, time_col: str = "ts") -> DataFrame:
-    return logs.filter(F.col("member_id") != S.VISITOR).select(
-        "member_id", F.col(time_col).alias("ts"), "event_id", "key")
+    """Member events (visitors excluded), materialized once: every operator
+    below reads its input more than once."""
+    return materialize(logs.filter(F.col("member_id") != S.VISITOR).select(
+        "member_id", F.col(time_col).alias("ts"), "event_id", "key"))
 
 
 BUCKET_SECONDS = {"hour": 3600, "day": 86400}
@@ -68,12 +71,13 @@ def sessionize(events: DataFrame, bucket_unit: str = "hour") -> DataFrame:
     if BUCKET_SECONDS.get(bucket_unit, 0) < S.SESSION_GAP_SECONDS:
         raise ValueError("bucket must be at least as long as the session gap")
     step = F.make_dt_interval(secs=F.lit(BUCKET_SECONDS[bucket_unit]))
-    real = events.withColumn("_bucket", _bucket("ts", bucket_unit)) \
-                 .withColumn("_ctx", F.lit(False))
-    nxt = F.col("_bucket") + step
-    ctx = real.filter(F.col("ts") >= nxt - gap()) \
-              .withColumn("_bucket", nxt).withColumn("_ctx", F.lit(True))
-    rows = real.unionByName(ctx)
+    own = _bucket("ts", bucket_unit)
+    # One pass: an event in the last ``gap`` of its bucket is emitted twice,
+    # the second time as a context row of the next bucket.
+    buckets = F.when(F.col("ts") >= own + step - gap(), F.array(own, own + step)) \
+               .otherwise(F.array(own))
+    rows = events.select("*", F.explode(buckets).alias("_bucket")) \
+                 .withColumn("_ctx", F.col("_bucket") != own)
     w = Window.partitionBy("member_id", "_bucket").orderBy("ts", "event_id")
     prev_ts = F.lag("ts").over(w)
     rows = rows.withColumn("_new", prev_ts.isNull() | (F.col("ts") > prev_ts + gap())) \
@@ -113,7 +117,7 @@ def session_expired(logs: DataFrame, time_col: str = "ts", bucket_unit: str = "h
     logout. ``observed_at`` is when the expiry would be noticed: the start of
     the member's next session (null when none follows), found on the sessions
     table with the bucketed neighbour search."""
-    s = _sessions(logs, time_col, bucket_unit)
+    s = materialize(_sessions(logs, time_col, bucket_unit))
     s = adjacent(s, ["member_id"], ["session_start"], [], "next", "next",
                  ts="session_start", bucket_unit=bucket_unit)
     return s.filter(F.col("last_key") != "logout").select(

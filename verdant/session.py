@@ -58,6 +58,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder (a reliable
+    checkpoint) and read it back, cutting the lineage, so an intermediate
+    with several consumers is computed once. Where the session has no
+    context access (a remote session), the plan is used as is."""
+    try:
+        checkpoint_dir(df.sparkSession)
+    except Exception:  # noqa: BLE001
+        return df
+    return df.checkpoint()
+
+
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
     """Checkpoint location of one streaming query, under the shared folder."""
     return os.path.join(checkpoint_dir(spark), "streams", name)
