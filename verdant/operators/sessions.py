@@ -48,11 +48,11 @@ def adjacent(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return out.withColumn(name, F.coalesce("_local", "_carried")).drop("_local", "_carried")
 
 
-def member_events(logs: DataFrame, time_col: str = "ts") -> DataFrame:
+def member_events(logs: DataFrame, time_col: str = "ts", keep: Sequence[str] = ()) -> DataFrame:
     """Member events (visitors excluded), materialized once: every operator
-    below reads its input more than once."""
+    below reads its input more than once. ``keep``: columns carried along."""
     return materialize(logs.filter(F.col("member_id") != S.VISITOR).select(
-        "member_id", F.col(time_col).alias("ts"), "event_id", "key"))
+        "member_id", F.col(time_col).alias("ts"), "event_id", "key", *keep))
 
 
 BUCKET_SECONDS = {"hour": 3600, "day": 86400}
@@ -131,23 +131,28 @@ def seconds_between(start, end) -> Column:
     return micros / F.lit(1e6)
 
 
-def dwell_time(logs: DataFrame, time_col: str = "ts", bucket_unit: str = "hour") -> DataFrame:
+def dwell_time(logs: DataFrame, time_col: str = "ts", bucket_unit: str = "hour",
+               keep: Sequence[str] = ()) -> DataFrame:
     """Each member login with the logout that follows it, if the member's
-    next log-in/out event is a logout, and the seconds in between."""
-    io = member_events(logs, time_col).filter(F.col("key").isin("login", "logout"))
+    next log-in/out event is a logout, and the seconds in between. ``keep``:
+    columns of the login row carried to the output."""
+    io = member_events(logs.filter(F.col("key").isin("login", "logout")), time_col, keep)
     e = adjacent(io, ["member_id"], ["ts", "event_id"], ["key"], "next", "next",
                  bucket_unit=bucket_unit)
     logins = e.filter(F.col("key") == "login")
     out_ts = F.when(F.col("next.key") == "logout", F.col("next.ts"))
     return logins.select("member_id", "event_id", F.col("ts").alias("login_ts"),
-                         out_ts.alias("logout_ts")) \
+                         out_ts.alias("logout_ts"), *keep) \
                  .withColumn("dwell_seconds", seconds_between("login_ts", "logout_ts"))
 
 
-def warm_week(hourly: DataFrame, dwell: DataFrame, members_logs: DataFrame, day: str,
-              days: int = 7) -> DataFrame:
+SEGMENT_COLUMNS = ("user_age", "user_region", "user_gender")
+
+
+def warm_week(hourly: DataFrame, dwell: DataFrame, day: str, days: int = 7) -> DataFrame:
     """The last ``days`` days up to ``day`` of the segment table, summed
-    per day and segment, with the average dwell time of that segment's logins."""
+    per day and segment, with the average dwell time of that segment's logins
+    (``dwell`` from ``dwell_time(..., keep=SEGMENT_COLUMNS)``)."""
     end = F.to_date(F.lit(day), "yyyyMMdd")
     lo = F.date_format(F.date_sub(end, days - 1), "yyyyMMdd")
     week = hourly.filter(F.col("date").between(lo, F.lit(day)))
@@ -155,9 +160,9 @@ def warm_week(hourly: DataFrame, dwell: DataFrame, members_logs: DataFrame, day:
                                                      "user_region", "user_gender")]
     daily = week.groupBy("date", "user_age", "user_region", "user_gender").agg(
         *[F.sum(m).cast("bigint").alias(m) for m in metrics])
-    seg = members_logs.select("event_id", S.age_band_hourly("user_age").alias("user_age"),
-                              "user_region", "user_gender")
-    d = dwell.join(seg, "event_id").withColumn("date", S.day_text("login_ts")) \
+    d = dwell.select(S.day_text("login_ts").alias("date"),
+                     S.age_band_hourly("user_age").alias("user_age"),
+                     "user_region", "user_gender", "dwell_seconds") \
              .filter(F.col("date").between(lo, F.lit(day)))
     dwell_seg = d.groupBy("date", "user_age", "user_region", "user_gender").agg(
         F.avg("dwell_seconds").alias("avg_dwell_seconds"),

@@ -87,5 +87,5 @@ ON d.date = w.date AND d.user_age = w.user_age AND d.user_region = w.user_region
                                                       "dwell": DWELL_BODY}))
 def q_warm_week(spark, d):
     logs = fx.logs(spark, d)
-    out = ss.warm_week(seg.common_hourly(logs), ss.dwell_time(logs), logs, DAY)
+    out = ss.warm_week(seg.common_hourly(logs), ss.dwell_time(logs, keep=ss.SEGMENT_COLUMNS), DAY)
     return out.withColumn("avg_dwell_seconds", F.round("avg_dwell_seconds", 3))
