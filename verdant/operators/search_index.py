@@ -26,6 +26,7 @@ from verdant.sources.tables import spread
 K1 = 1.2
 B = 0.75
 TOP_K = 30
+WEIGHTS_BROADCAST_ROWS = 1_000_000   # (query, field, term) rows broadcast at most
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
 
@@ -114,6 +115,13 @@ def bm25_search(queries: DataFrame, docs: DataFrame, fields: Sequence[str],
     qt = query_terms(queries).join(dfreq, "term")
     idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weights = qt.select("query_id", "field", "term", idf.alias("idf"), avgdl.alias("avgdl"))
+    # The weights (one row per query term and field) are the side to build
+    # the hash table on: every postings row, a common term's included, then
+    # probes locally and no partition holds a hot term's whole list. They
+    # grow with the query batch, so the broadcast sits behind a row count;
+    # above the bound the planner chooses (shuffle join, AQE skew splits).
+    if weights.count() <= WEIGHTS_BROADCAST_ROWS:
+        weights = F.broadcast(weights)
     hits = weights.join(post, ["field", "term"])
     norm = F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl"))
     term_score = F.col("idf") * F.col("tf") * (k1 + 1) / norm
