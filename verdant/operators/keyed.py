@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdant.functions import scalars as S
+from verdant.session import materialize
 
 COMMON_KEY_PARTS = ["date", "hour", "user_gender", "user_age", "user_region"]
 SEARCH_KEY_PARTS = ["date", "gender", "age", "word"]
@@ -43,7 +44,10 @@ def numeric_columns(df: DataFrame, columns: list[str]) -> dict[str, str]:
 
 
 def coerce_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Cast every text column that is wholly numeric; others keep text."""
+    """Cast every text column that is wholly numeric; others keep text.
+    The input is read twice (type decision, then the cast), so it is
+    materialized once first."""
+    df = materialize(df)
     columns = columns or [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
     types = numeric_columns(df, columns)
     return df.select(*[F.col(c).try_cast(types[c]).alias(c) if types.get(c, "string") != "string"
