@@ -43,3 +43,20 @@ def test_keyed_table_is_idempotent_and_last_write_wins(spark, scratch):
     t.upsert(b1, 1)   # replay of batch 1
     assert {(r.k, r.v) for r in t.read().collect()} == first == {("a", 5), ("b", 2)}
     assert t.read("20240101").count() == 2 and t.read("20240102").count() == 0
+
+
+def test_keyed_table_compaction_and_partition_pruning(spark, scratch):
+    t = sinks.KeyedTable(spark, os.path.join(scratch, "kt"), ["date", "k"])
+    for i, v in enumerate((1, 2, 3)):
+        t.upsert(spark.createDataFrame([("20240101", "a", v), ("20240102", "b", 10 * v)],
+                                       "date string, k string, v bigint"), i)
+    latest = {(r.date, r.k, r.v) for r in t.read().collect()}
+    assert latest == {("20240101", "a", 3), ("20240102", "b", 30)}
+    target = os.path.join(scratch, "compact")
+    t.compact(target)
+    c = sinks.KeyedTable(spark, target, ["date", "k"])
+    assert c.raw().count() == 2
+    assert {(r.date, r.k, r.v) for r in c.read().collect()} == latest
+    # a day read touches only that day's folders
+    plan = t.read("20240101")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "20240101" in plan
