@@ -163,3 +163,17 @@ def test_quota_stream_equals_batch_verdicts(spark, scratch):
     got = {r.event_id: r.verdict for r in spark.read.parquet(out).collect()}
     expected = {r.event_id: r.verdict for r in pt.upload_verdict(up).collect()}
     assert got == expected
+
+
+def test_late_rows_side_output_matches_the_stream_rule(spark):
+    # Same arrival as test_late_search_rows_are_dropped: the row of a closed
+    # day window is the side output; the on-time rows are not.
+    rows = spark.createDataFrame(
+        [(0, dt.datetime(2024, 1, 3, 12, 0, 0)), (1, dt.datetime(2024, 1, 1, 12, 0, 0)),
+         (1, dt.datetime(2024, 1, 3, 12, 0, 10)), (2, dt.datetime(2024, 1, 3, 11, 59, 0))],
+        "batch bigint, ts timestamp_ntz")
+    late = jobs.late_rows(rows, "ts", "batch", 30, window="1440 minutes").collect()
+    assert [(r.batch, r.ts.day) for r in late] == [(1, 1)]
+    # without a window, event time itself is compared with the watermark
+    late = jobs.late_rows(rows, "ts", "batch", 30).orderBy("batch").collect()
+    assert [(r.batch, r.ts.day, r.ts.minute) for r in late] == [(1, 1, 0), (2, 3, 59)]

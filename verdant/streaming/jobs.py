@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -98,6 +98,24 @@ def session_stream(records: DataFrame, watermark: str = "10 minutes",
                       F.col("w.end").alias("expires_at"), "n_events")
 
 
+def late_rows(rows: DataFrame, event_col: str, batch_col: str, delay_seconds: int,
+              window: str | None = None) -> DataFrame:
+    """W4 side output: the rows a watermark of ``delay_seconds`` drops, given
+    the micro-batch each row arrived in. The watermark of batch b is the
+    largest event time of the batches before b minus the delay (one row per
+    batch, a running max over a tiny table). With ``window``, a row is late
+    when its window has ended by then (windowed aggregation); otherwise when
+    its event time is older."""
+    per_batch = rows.groupBy(batch_col).agg(F.max(event_col).alias("_max"))
+    w = Window.orderBy(batch_col).rowsBetween(Window.unboundedPreceding, -1)
+    marks = per_batch.select(batch_col, (F.max("_max").over(w) -
+                             F.make_dt_interval(secs=F.lit(delay_seconds))).alias("_wm"))
+    j = rows.join(marks, batch_col)
+    t = F.window(event_col, window).end if window else F.col(event_col)
+    return j.filter(F.col("_wm").isNotNull() & (t <= F.col("_wm")) if window
+                    else F.col("_wm").isNotNull() & (t < F.col("_wm"))).drop("_wm")
+
+
 def start_keyed_upsert(agg: DataFrame, table: KeyedTable, name: str,
                        trigger: dict | None = None,
                        checkpoint: str | None = None) -> StreamingQuery:
