@@ -4,34 +4,67 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdant.session import checkpoint_dir
 
-#: Row number given by ``with_row_ids``; no input column may carry this name.
+#: Row name given by ``with_row_ids``; no input column may carry this name.
 ROW = "_verdant_row"
 
 
+_scopes: list[list[str]] = []
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder below the shared folder that the cluster names."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back: cuts the
-    lineage, survives lost executors, and keeps column pruning."""
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are deleted at the end, but for those of ``result``."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _write(df: DataFrame, label: str, owners: list[list[str]]) -> DataFrame:
     path = work_dir(df.sparkSession, label)
+    if owners:
+        owners[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back: cuts the
+    lineage, survives lost executors, and keeps column pruning."""
+    return _write(df, label, _scopes)
+
+
+def result(df: DataFrame, label: str) -> DataFrame:
+    """As ``written``, for what outlives the innermost ``scratch``."""
+    return _write(df, label, _scopes[:-1])
+
+
 def with_row_ids(df: DataFrame, label: str) -> DataFrame:
-    """``df`` with a unique row number, written so that the numbers stay fixed.
-    Row decisions are joined back by it, so repeated or null ids do no harm."""
-    return written(df.withColumn(ROW, F.monotonically_increasing_id()), label)
+    """``df`` with a unique, stable row name. Row decisions are joined back by
+    it, so repeated or null ids do no harm. Rows of files are named by file and
+    place, whatever way the files are split; other frames are written first."""
+    try:
+        return df.withColumn(ROW, F.concat(F.hex(F.xxhash64(F.col("_metadata.file_path"))), F.lit(":"),
+                                           F.col("_metadata.row_index").cast("string")))
+    except AnalysisException:
+        return written(df.withColumn(ROW, F.monotonically_increasing_id().cast("string")), label)
 
 
 def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:

@@ -33,8 +33,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def _rank(keep: int | None, row: int | None) -> tuple:
-    """Null ids come first; of equal ids the larger row number comes last."""
-    return keep is not None, keep or 0, row is not None, row or 0
+    """Null ids come first; of equal ids the larger row name comes last."""
+    return keep is not None, keep or 0, row or ""
 
 
 class CuckooIndex:
@@ -133,8 +133,8 @@ class CuckooIndex:
 
 
 INDEX_SCHEMA = pa.schema([("shard", pa.int32()), ("digest", pa.binary()), ("keep_id", pa.int64()),
-                          ("keep_row", pa.int64()), ("group_size", pa.int64())])
-INDEX_DDL = "shard int, digest binary, keep_id bigint, keep_row bigint, group_size bigint"
+                          ("keep_row", pa.string()), ("group_size", pa.int64())])
+INDEX_DDL = "shard int, digest binary, keep_id bigint, keep_row string, group_size bigint"
 
 
 def normalised(text: Column) -> Column:
@@ -193,7 +193,7 @@ def update_index(index: DataFrame, inserted: DataFrame, deleted: DataFrame, shar
     its stored keys, deletes, then inserts."""
     new = inserted.mapInArrow(_fold, INDEX_DDL).withColumn("shard", _shard(F.col("digest"), shards))
     gone = deleted.select(_shard(F.col("digest"), shards).alias("shard"), "digest",
-                          F.lit(None).cast("bigint").alias("keep_id"), F.lit(None).cast("bigint").alias("keep_row"),
+                          F.lit(None).cast("bigint").alias("keep_id"), F.lit(None).cast("string").alias("keep_row"),
                           F.lit(0).cast("bigint").alias("group_size"))
     steps = (index.withColumn("step", F.lit(0)).unionByName(gone.withColumn("step", F.lit(1)))
              .unionByName(new.withColumn("step", F.lit(2))))
@@ -224,7 +224,7 @@ def exact_dedup(rows: DataFrame) -> DataFrame:
     Returns ROW, doc_id, keep_id, keep_row, group_size, kept, text_sha256, one
     row per input row. Null texts equal empty ones. Null ids lose against any
     id. Of repeated rows (same id and text) exactly one is ``kept``, the one
-    with the largest row number. An empty table gives an empty result.
+    with the largest row name. An empty table gives an empty result.
     """
     light = written(digests(rows), "digests")
     shards = max(1, math.ceil(light.count() / SHARD_ROWS))
@@ -236,7 +236,7 @@ def exact_dedup(rows: DataFrame) -> DataFrame:
 
 def op8_exact_dedup(docs: DataFrame) -> DataFrame:
     """The query's rows over a ``documents`` table."""
-    rows = docs.select("doc_id", "text").withColumn(ROW, F.monotonically_increasing_id())
+    rows = docs.select("doc_id", "text").withColumn(ROW, F.monotonically_increasing_id().cast("string"))
     return exact_dedup(rows).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 

@@ -137,7 +137,7 @@ def measured(docs: DataFrame) -> DataFrame:
 
 def op10_mix_sources(docs: DataFrame) -> DataFrame:
     """The query's rows: every appearance of every document of a ``documents`` table."""
-    rows = written(measured(docs.select("doc_id", "source", "text").withColumn(ROW, F.monotonically_increasing_id())), "mix-rows")
+    rows = written(measured(docs.select("doc_id", "source", "text").withColumn(ROW, F.monotonically_increasing_id().cast("string"))), "mix-rows")
     return mix(rows).drop(ROW)
 
 

@@ -25,10 +25,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verdant.llm.common import ROW, batches_of, groups_of, rows_of, with_row_ids, written
+from verdant.llm.common import ROW, batches_of, groups_of, result, rows_of, scratch, with_row_ids, written
 from verdant.llm.components import components
 
 WIDTH = 5              # words of a shingle
@@ -68,6 +68,10 @@ def prefix(own: np.ndarray, heavy: np.ndarray) -> np.ndarray:
     return own[:count]
 
 
+def _text_hash() -> Column:
+    return F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("text_hash")
+
+
 def signature(own: np.ndarray) -> bytes:
     bits = np.zeros(BITS, dtype=np.uint8)
     bits[(own >> np.uint64(40)) % np.uint64(BITS)] = 1
@@ -88,32 +92,42 @@ def _keys(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "key bigint, n bigint")
 
 
-SET_SCHEMA = pa.schema([(ROW, pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("digest", pa.binary()),
+PAIR_SCHEMA = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+SET_SCHEMA = pa.schema([(ROW, pa.string()), ("text_hash", pa.binary()), ("doc_id", pa.int64()), ("n", pa.int32()), ("digest", pa.binary()),
                         ("keys", pa.list_(pa.int64())), ("bits", pa.binary())])
-SET_DDL = f"{ROW} bigint, doc_id bigint, n int, digest binary, keys array<bigint>, bits binary"
+SET_DDL = f"{ROW} string, text_hash binary, doc_id bigint, n int, digest binary, keys array<bigint>, bits binary"
 
 
 def _sets(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
-            for row, doc_id, text in rows_of(batches, ROW, "doc_id", "text"):
+            for row, text_hash, doc_id, text in rows_of(batches, ROW, "text_hash", "doc_id", "text"):
                 own = shingles(text)
                 digest = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
-                yield row, doc_id, len(own), digest, prefix(own, heavy).view(np.int64) if len(own) else [], signature(own)
+                yield row, text_hash, doc_id, len(own), digest, prefix(own, heavy).view(np.int64) if len(own) else [], signature(own)
 
         yield from batches_of(rows(), SET_SCHEMA, 2048)
 
-    return docs.select(ROW, F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, SET_DDL)
+    return docs.select(ROW, _text_hash(), F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, SET_DDL)
 
 
 def _arrays(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set, own): sorted shingle arrays of the classes in ``wanted`` (set, row)."""
+    """(set, own): sorted shingle arrays of the classes in ``wanted`` (set, text_hash)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("set", pa.int64()), ("own", pa.binary())])
         yield from batches_of(((s, shingles(t).tobytes()) for s, t in rows_of(batches, "set", "text")), schema, 512)
 
-    return docs.select(F.col(ROW).alias("row"), "text").join(wanted, "row").select("set", "text") \
-        .mapInArrow(run, "set bigint, own binary")
+    texts = docs.select("text", _text_hash()).join(wanted, "text_hash")
+    return texts.groupBy("set").agg(F.first("text").alias("text")).mapInArrow(run, "set bigint, own binary")
+
+
+def _most(n: int, m: int, left: int, right: int) -> int:
+    """Upper bound of the overlap of two sets from their sizes and signatures."""
+    return min(n - (left & ~right).bit_count(), m - (right & ~left).bit_count())
+
+
+def _reaches(common: int, n: int, m: int) -> bool:
+    return 100 * common >= 80 * (n + m - common)
 
 
 def _overlap(left: bytes, right: bytes) -> tuple[int, int, int]:
@@ -122,10 +136,25 @@ def _overlap(left: bytes, right: bytes) -> tuple[int, int, int]:
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, label: str) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose sets reach the threshold, verified exactly."""
-    pairs = written(pairs, f"{label}-pairs")
+    """Those of ``pairs`` (a, b) whose sets reach the threshold: first by sizes
+    and signatures, then exactly."""
+    light = classes.select("set", "n", "bits")
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for a, b, n, m, left, right in rows_of(batches, "a", "b", "n", "m", "left", "right"):
+                if 4 * max(n, m) <= 5 * min(n, m) and _reaches(
+                        _most(n, m, int.from_bytes(left, "little"), int.from_bytes(right, "little")), n, m):
+                    yield a, b
+
+        yield from batches_of(rows(), PAIR_SCHEMA)
+
+    near = pairs.join(light.select(F.col("set").alias("a"), "n", F.col("bits").alias("left")), "a") \
+        .join(light.select(F.col("set").alias("b"), F.col("n").alias("m"), F.col("bits").alias("right")), "b")
+    pairs = written(near.mapInArrow(bound, "a bigint, b bigint"), f"{label}-pairs")
     ends = pairs.select(F.col("a").alias("set")).unionByName(pairs.select(F.col("b").alias("set"))).distinct()
-    arrays = written(_arrays(docs, classes.select("set", "row").join(ends, "set")), f"{label}-arrays")
+    wanted = written(classes.select("set", "text_hash").join(ends, "set"), f"{label}-wanted")
+    arrays = written(_arrays(docs, wanted), f"{label}-arrays")
     both = pairs.join(arrays.select(F.col("set").alias("a"), F.col("own").alias("left")), "a") \
         .join(arrays.select(F.col("set").alias("b"), F.col("own").alias("right")), "b")
 
@@ -133,19 +162,14 @@ def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, label: str) -
         def rows() -> Iterator[tuple]:
             for a, b, left, right in rows_of(batches, "a", "b", "left", "right"):
                 common, s, t = _overlap(left, right)
-                if 100 * common >= 80 * (s + t - common):
+                if _reaches(common, s, t):
                     yield a, b
 
-        yield from batches_of(rows(), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        yield from batches_of(rows(), PAIR_SCHEMA)
 
     return written(both.mapInArrow(run, "a bigint, b bigint"), f"{label}-links")
 
 
-def _most(n: int, m: int, left: int, right: int) -> int:
-    """Upper bound of the overlap of two sets from their sizes and signatures."""
-    return min(n - (left & ~right).bit_count(), m - (right & ~left).bit_count())
-
-
 def bounded_pairs(held: list[tuple], diagonal: bool) -> Iterator[tuple[int, int]]:
     """Pairs of a tile that sizes and signatures don't rule out and that are
     not connected yet. A row: (role, side, set, n, component, bits). In a
@@ -156,7 +180,7 @@ def bounded_pairs(held: list[tuple], diagonal: bool) -> Iterator[tuple[int, int]
         for i, (role, side, own, n, part, bits) in enumerate(rows):
             for role2, side2, other, m, part2, bits2 in rows[i + 1:]:
                 if (part != part2 and not (role and role2) and (diagonal or side != side2) and 4 * max(n, m) <= 5 * min(n, m)
-                        and 100 * (most := _most(n, m, bits, bits2)) >= 80 * (n + m - most)):
+                        and _reaches(_most(n, m, bits, bits2), n, m)):
                     yield (own, other) if own < other else (other, own)
         return
     role = np.array([r[0] for r in held])
@@ -203,7 +227,7 @@ def _tile_pairs(met: DataFrame) -> DataFrame:
                 if len(held) > 1:
                     yield from bounded_pairs([r[4:] for r in held], held[0][2] == held[0][3])
 
-        yield from batches_of(pairs(), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        yield from batches_of(pairs(), PAIR_SCHEMA)
 
     return rows.repartition("key", "tile", "i", "j").sortWithinPartitions("key", "tile", "i", "j") \
         .mapInArrow(run, "a bigint, b bigint").distinct()
@@ -211,13 +235,18 @@ def _tile_pairs(met: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(ROW, doc_id, n_shingles, component_id, kept) of every row of ``docs``,
-    a written table from ``with_row_ids`` with doc_id and text.
+    which has ROW, doc_id and text.
 
     Rows link when 100 * common >= 80 * union over their distinct 5-word
     shingles. ``component_id`` is the smallest doc_id reachable by links, its
     own included; null ids count only where a component has no other. ``kept``
     marks one row per component, that with the smallest (doc_id, row). Null
     and empty texts and texts of blanks have no shingle and no link."""
+    with scratch(docs.sparkSession):
+        return result(_components(docs), "near-duplicates")
+
+
+def _components(docs: DataFrame) -> DataFrame:
     counts = _keys(docs).groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= HEAVY_COUNT)
     heavy = np.sort(np.array([r.key for r in counts.orderBy(F.desc("n"), "key").limit(HEAVY_LIST).collect()],
                              dtype=np.int64).view(np.uint64))
@@ -225,7 +254,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Classes of equal sets; the row stands for the text, the numbers for the order of ids.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", F.col(ROW).alias("row"))).alias("first")
     per_class = sets.filter("n > 0").groupBy("digest").agg(
-        first, F.min(ROW).alias("row"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("bits").alias("bits"))
+        first, F.min("text_hash").alias("text_hash"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("bits").alias("bits"))
     classes = written(per_class.withColumn("set", F.monotonically_increasing_id()).withColumn(
         "band", F.floor(F.log("n") / F.log(F.lit(1.25)) + F.lit(1e-9)).cast("int")), "classes")
 
@@ -263,12 +292,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def op6_ngram_join(docs: DataFrame) -> DataFrame:
     """The query's rows over a ``documents`` table."""
-    rows = with_row_ids(docs.select("doc_id", "text"), "ngram-docs")
+    rows = docs.select("doc_id", "text").withColumn(ROW, F.monotonically_increasing_id().cast("string"))
     return near_duplicates(rows).select("doc_id", "n_shingles", "component_id")
 
 
 def stage_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group of near duplicates, all columns kept."""
     rows = with_row_ids(docs, "near-docs")
-    kept = written(near_duplicates(rows).filter("kept").select(F.col(ROW).alias("_kept_row")), "near-kept")
+    kept = near_duplicates(rows).filter("kept").select(F.col(ROW).alias("_kept_row"))
     return rows.join(kept, F.col(ROW) == F.col("_kept_row"), "left_semi").drop(ROW)
