@@ -32,8 +32,8 @@ from verdant.llm.common import ROW, batches_of, groups_of, result, rows_of, scra
 from verdant.llm.components import components
 
 WIDTH = 5              # words of a shingle
-BITS = 1_024           # bits of a signature
-HEAVY_COUNT = 1_000    # sets from which on a shingle moves to the end of the order
+BITS_PER_SHINGLE = 2   # of a signature, at least; a power of two in all
+HEAVY_COUNT = 16       # documents from which on a shingle moves to the end of the order
 HEAVY_LIST = 100_000   # most frequent of those that move (800 kB); changes the order only
 BLOCK = 512            # sets of a block; a tile has two blocks
 CENTRES = 3            # centres of a shingle and band
@@ -73,9 +73,12 @@ def _text_hash() -> Column:
 
 
 def signature(own: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, dtype=np.uint8)
-    bits[(own >> np.uint64(40)) % np.uint64(BITS)] = 1
-    return np.packbits(bits).tobytes()
+    """A hashed bitmap as long as the set asks for. Sets of a band and the next
+    differ at most by one doubling, and halves can be laid over each other."""
+    width = max(64, 1 << (BITS_PER_SHINGLE * max(len(own), 1) - 1).bit_length())
+    bits = np.zeros(width, dtype=np.uint8)
+    bits[(own >> np.uint64(8)) & np.uint64(width - 1)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
 
 
 def _keys(docs: DataFrame) -> DataFrame:
@@ -121,9 +124,22 @@ def _arrays(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.groupBy("set").agg(F.first("text").alias("text")).mapInArrow(run, "set bigint, own binary")
 
 
-def _most(n: int, m: int, left: int, right: int) -> int:
+def _bitmap(signed: bytes) -> tuple[int, int]:
+    return int.from_bytes(signed, "little"), 8 * len(signed)
+
+
+def _folded(bits: int, width: int, to: int) -> int:
+    while width > to:
+        width //= 2
+        bits = (bits >> width) | (bits & ((1 << width) - 1))
+    return bits
+
+
+def _most(n: int, m: int, left: tuple[int, int], right: tuple[int, int]) -> int:
     """Upper bound of the overlap of two sets from their sizes and signatures."""
-    return min(n - (left & ~right).bit_count(), m - (right & ~left).bit_count())
+    width = min(left[1], right[1])
+    a, b = _folded(*left, width), _folded(*right, width)
+    return min(n - (a & ~b).bit_count(), m - (b & ~a).bit_count())
 
 
 def _reaches(common: int, n: int, m: int) -> bool:
@@ -144,7 +160,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, label: str) -
         def rows() -> Iterator[tuple]:
             for a, b, n, m, left, right in rows_of(batches, "a", "b", "n", "m", "left", "right"):
                 if 4 * max(n, m) <= 5 * min(n, m) and _reaches(
-                        _most(n, m, int.from_bytes(left, "little"), int.from_bytes(right, "little")), n, m):
+                        _most(n, m, _bitmap(left), _bitmap(right)), n, m):
                     yield a, b
 
         yield from batches_of(rows(), PAIR_SCHEMA)
@@ -176,7 +192,7 @@ def bounded_pairs(held: list[tuple], diagonal: bool) -> Iterator[tuple[int, int]
     diagonal tile all rows meet, else those of side 0 meet those of side 1;
     role 0 meets both roles."""
     if len(held) <= FEW:
-        rows = [(*r[:5], int.from_bytes(r[5], "little")) for r in held]
+        rows = [(*r[:5], _bitmap(r[5])) for r in held]
         for i, (role, side, own, n, part, bits) in enumerate(rows):
             for role2, side2, other, m, part2, bits2 in rows[i + 1:]:
                 if (part != part2 and not (role and role2) and (diagonal or side != side2) and 4 * max(n, m) <= 5 * min(n, m)
@@ -188,7 +204,8 @@ def bounded_pairs(held: list[tuple], diagonal: bool) -> Iterator[tuple[int, int]
     sets = np.array([r[2] for r in held])
     size = np.array([r[3] for r in held], dtype=np.int64)
     part = np.array([r[4] for r in held])
-    bits = np.frombuffer(b"".join(r[5] for r in held), dtype=np.uint64).reshape(len(held), -1)
+    width = min(len(r[5]) for r in held)
+    bits = np.stack([np.bitwise_or.reduce(np.frombuffer(r[5], dtype=np.uint64).reshape(-1, width // 8), axis=0) for r in held])
     for i in range(len(held)):
         if diagonal:
             other = np.arange(i + 1, len(held))
@@ -209,14 +226,18 @@ def bounded_pairs(held: list[tuple], diagonal: bool) -> Iterator[tuple[int, int]
             yield (int(sets[i]), int(sets[j])) if sets[i] < sets[j] else (int(sets[j]), int(sets[i]))
 
 
-def _tile_pairs(met: DataFrame) -> DataFrame:
-    """Candidate pairs of rows (key, set, n, band, component, bits, total)."""
+def _tile_pairs(met: DataFrame, light: DataFrame) -> DataFrame:
+    """Candidate pairs of rows (key, set, band, total), through tiles in which
+    not all sets are connected yet. ``light`` has set, n, component and bits."""
+    rows = met.join(light.select("set", "component"), "set").select(
+        "*", F.explode(F.array(F.lit(0), F.lit(1))).alias("role")).withColumn("tile", F.col("band") - F.col("role"))
+    unsettled = rows.groupBy("key", "tile").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("role").alias("low")) \
+        .filter("lo <> hi AND low = 0").select("key", "tile")
     blocks = F.ceil(F.col("total") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("set", "key"), blocks).cast("int")
-    rows = met.withColumn("blocks", blocks).withColumn("own", own).select(
-        "*", F.explode(F.array(F.lit(0), F.lit(1))).alias("role")).withColumn(
-        "tile", F.col("band") - F.col("role")).select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+    rows = rows.join(unsettled, ["key", "tile"]).join(light.select("set", "n", "bits"), "set") \
+        .withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("set", "key"), F.col("blocks")).cast("int")) \
+        .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
     rows = rows.select("key", "tile", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"),
                        "role", (F.col("own") > F.col("with")).cast("int").alias("side"), "set", "n", "component", "bits")
 
@@ -273,11 +294,7 @@ def _components(docs: DataFrame) -> DataFrame:
 
     light = classes.select("set", "n", "bits").join(joined.withColumnRenamed("node", "set"), "set", "left") \
         .withColumn("component", F.coalesce("component", "set"))
-    labelled = met.join(light.select("set", "component"), "set")
-    open_keys = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .filter("lo <> hi").select("key")
-    rest = labelled.join(open_keys, "key").join(light.select("set", "n", "bits"), "set")
-    links = links.unionByName(_linked(_tile_pairs(rest), docs, classes, "tile"))
+    links = links.unionByName(_linked(_tile_pairs(met, light), docs, classes, "tile"))
     final = components(links)
 
     grouped = classes.select("set", "digest", "first").join(final.withColumnRenamed("node", "set"), "set", "left") \
