@@ -12,7 +12,7 @@ frequent shingles last, then goes by hash.
 3. In a tile, hashed bitmaps bound the overlap from above: a bit that only
    one set has is a shingle that the other lacks. What passes is verified
    exactly on sorted arrays.
-4. Large groups of near copies are linked to a few centres first; tiles then
+4. In every tile all sets are held against a few centres first; then tiles
    compare only sets that are not connected yet. A link between two sets of
    one component can't change it, so components are exact.
 """
@@ -32,11 +32,11 @@ from verdant.llm.common import ROW, batches_of, groups_of, result, rows_of, scra
 from verdant.llm.components import components
 
 WIDTH = 5              # words of a shingle
-BITS_PER_SHINGLE = 2   # of a signature, at least; a power of two in all
+BITS_PER_SHINGLE = 4   # of a signature, at least; a power of two in all
 HEAVY_COUNT = 16       # documents from which on a shingle moves to the end of the order
 HEAVY_LIST = 100_000   # most frequent of those that move (800 kB); changes the order only
 BLOCK = 512            # sets of a block; a tile has two blocks
-CENTRES = 3            # centres of a shingle and band
+SETTLED = 3            # sets of a tile up to which its centres meet all others
 FEW = 24               # rows of a tile up to which plain integers beat arrays
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -187,25 +187,28 @@ def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, label: str) -
 
 
 def bounded_pairs(held: list[tuple], diagonal: bool) -> Iterator[tuple[int, int]]:
-    """Pairs of a tile that sizes and signatures don't rule out and that are
-    not connected yet. A row: (role, side, set, n, component, bits). In a
-    diagonal tile all rows meet, else those of side 0 meet those of side 1;
-    role 0 meets both roles."""
+    """Pairs of a tile that sizes, places and signatures don't rule out and that
+    are not connected yet. A row: (role, side, set, n, place, component, bits, earlier).
+    In a diagonal tile all rows meet, else those of side 0 meet those of side 1;
+    role 0 meets both roles. A pair counts where its first common shingle is, so
+    no more than what follows that place can be common. A row ends with the
+    shingles before the place."""
     if len(held) <= FEW:
-        rows = [(*r[:5], _bitmap(r[5])) for r in held]
-        for i, (role, side, own, n, part, bits) in enumerate(rows):
-            for role2, side2, other, m, part2, bits2 in rows[i + 1:]:
+        rows = [(*r[:6], _bitmap(r[6]), r[7]) for r in held]
+        for i, (role, side, own, n, at, part, bits, earlier) in enumerate(rows):
+            for role2, side2, other, m, at2, part2, bits2, earlier2 in rows[i + 1:]:
                 if (part != part2 and not (role and role2) and (diagonal or side != side2) and 4 * max(n, m) <= 5 * min(n, m)
-                        and _reaches(_most(n, m, bits, bits2), n, m)):
+                        and 9 * min(n - at, m - at2) >= 4 * (n + m) and _reaches(_most(n, m, bits, bits2), n, m) and set(earlier).isdisjoint(earlier2)):
                     yield (own, other) if own < other else (other, own)
         return
     role = np.array([r[0] for r in held])
     side = np.array([r[1] for r in held])
     sets = np.array([r[2] for r in held])
     size = np.array([r[3] for r in held], dtype=np.int64)
-    part = np.array([r[4] for r in held])
-    width = min(len(r[5]) for r in held)
-    bits = np.stack([np.bitwise_or.reduce(np.frombuffer(r[5], dtype=np.uint64).reshape(-1, width // 8), axis=0) for r in held])
+    left = size - np.array([r[4] for r in held], dtype=np.int64)
+    part = np.array([r[5] for r in held])
+    width = min(len(r[6]) for r in held)
+    bits = np.stack([np.bitwise_or.reduce(np.frombuffer(r[6], dtype=np.uint64).reshape(-1, width // 8), axis=0) for r in held])
     for i in range(len(held)):
         if diagonal:
             other = np.arange(i + 1, len(held))
@@ -215,35 +218,59 @@ def bounded_pairs(held: list[tuple], diagonal: bool) -> Iterator[tuple[int, int]
             continue
         other = other[(part[other] != part[i]) & ((role[i] == 0) | (role[other] == 0))]
         small, large = np.minimum(size[other], size[i]), np.maximum(size[other], size[i])
-        other = other[4 * large <= 5 * small]
+        other = other[(4 * large <= 5 * small) & (9 * np.minimum(left[other], left[i]) >= 4 * (small + large))]
         if not len(other):
             continue
         only = np.bitwise_count(bits[i] & ~bits[other]).sum(axis=1, dtype=np.int64)
         rest = np.bitwise_count(bits[other] & ~bits[i]).sum(axis=1, dtype=np.int64)
         most = np.minimum(size[i] - only, size[other] - rest)
         other = other[100 * most >= 80 * (size[i] + size[other] - most)]
+        before = set(held[i][7])
         for j in other.tolist():
-            yield (int(sets[i]), int(sets[j])) if sets[i] < sets[j] else (int(sets[j]), int(sets[i]))
+            if before.isdisjoint(held[j][7]):
+                yield (int(min(sets[i], sets[j])), int(max(sets[i], sets[j])))
+
+
+def _roles(met: DataFrame) -> DataFrame:
+    """A set in band b is in tile b (role 0) and in tile b - 1 (role 1)."""
+    return met.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("role")).withColumn("tile", F.col("band") - F.col("role"))
+
+
+def _star_pairs(met: DataFrame) -> DataFrame:
+    """Every set of a tile with the tile's centres: its least and its largest set
+    and that which meets most others, like the original of a group of near copies."""
+    rows = _roles(met)
+    one = F.struct("set", "n", "place", "role")
+    centres = rows.groupBy("key", "tile").agg(
+        F.min(one).alias("c0"), F.max(one).alias("c1"), F.max(F.struct("hub", one.alias("c"))).getField("c").alias("c2"),
+        F.count("*").alias("sets"), F.min("role").alias("low")).filter("sets > 1 AND low = 0") \
+        .select("key", "tile", F.explode(F.array_distinct(F.array("c0", "c1", "c2"))).alias("c"))
+    small, large = F.least("n", "c.n"), F.greatest("n", "c.n")
+    return rows.join(centres, ["key", "tile"]).filter(
+        (F.col("set") != F.col("c.set")) & (F.col("role") + F.col("c.role") < 2) & (4 * large <= 5 * small)
+        & (9 * F.least(F.col("n") - F.col("place"), F.col("c.n") - F.col("c.place")) >= 4 * (small + large))) \
+        .select(F.least("set", "c.set").alias("a"), F.greatest("set", "c.set").alias("b")).distinct()
 
 
 def _tile_pairs(met: DataFrame, light: DataFrame) -> DataFrame:
-    """Candidate pairs of rows (key, set, band, total), through tiles in which
-    not all sets are connected yet. ``light`` has set, n, component and bits."""
-    rows = met.join(light.select("set", "component"), "set").select(
-        "*", F.explode(F.array(F.lit(0), F.lit(1))).alias("role")).withColumn("tile", F.col("band") - F.col("role"))
+    """Candidate pairs through tiles in which not all sets are connected yet and
+    centres haven't met all others. ``light`` has set, component,
+    bits and keys."""
+    rows = _roles(met.join(light.select("set", "component"), "set"))
     unsettled = rows.groupBy("key", "tile").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("role").alias("low")) \
-        .filter("lo <> hi AND low = 0").select("key", "tile")
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("role").alias("low"), F.count("*").alias("sets")) \
+        .filter(f"lo <> hi AND low = 0 AND sets > {SETTLED}").select("key", "tile")
     blocks = F.ceil(F.col("total") / BLOCK).cast("int")
-    rows = rows.join(unsettled, ["key", "tile"]).join(light.select("set", "n", "bits"), "set") \
+    rows = rows.join(unsettled, ["key", "tile"]).join(light.select("set", "bits", "keys"), "set") \
         .withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("set", "key"), F.col("blocks")).cast("int")) \
         .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
     rows = rows.select("key", "tile", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"),
-                       "role", (F.col("own") > F.col("with")).cast("int").alias("side"), "set", "n", "component", "bits")
+                       "role", (F.col("own") > F.col("with")).cast("int").alias("side"), "set", "n", "place", "component", "bits",
+                       F.slice("keys", 1, F.col("place")).alias("earlier"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs() -> Iterator[tuple]:
-            names = ("key", "tile", "i", "j", "role", "side", "set", "n", "component", "bits")
+            names = ("key", "tile", "i", "j", "role", "side", "set", "n", "place", "component", "bits", "earlier")
             for _, held in groups_of(rows_of(batches, *names), 4):
                 if len(held) > 1:
                     yield from bounded_pairs([r[4:] for r in held], held[0][2] == held[0][3])
@@ -251,7 +278,7 @@ def _tile_pairs(met: DataFrame, light: DataFrame) -> DataFrame:
         yield from batches_of(pairs(), PAIR_SCHEMA)
 
     return rows.repartition("key", "tile", "i", "j").sortWithinPartitions("key", "tile", "i", "j") \
-        .mapInArrow(run, "a bigint, b bigint").distinct()
+        .mapInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -279,20 +306,15 @@ def _components(docs: DataFrame) -> DataFrame:
     classes = written(per_class.withColumn("set", F.monotonically_increasing_id()).withColumn(
         "band", F.floor(F.log("n") / F.log(F.lit(1.25)) + F.lit(1e-9)).cast("int")), "classes")
 
-    keyed = classes.select(F.explode("keys").alias("key"), "set", "band")
+    keyed = classes.select(F.posexplode("keys").alias("place", "key"), "set", "band", "n")
     repeated = keyed.groupBy("key").agg(F.count("*").alias("total")).filter("total > 1")
     met = written(keyed.join(repeated, "key"), "met")
-
-    # Centres: a few sets of every shingle and band, chosen by hash.
-    pick = [F.min(F.struct(F.xxhash64("set", F.lit(k)).alias("h"), "set")).getField("set").alias(f"c{k}") for k in range(CENTRES)]
-    centres = met.groupBy("key", "band").agg(*pick).select(
-        "key", "band", F.explode(F.array_distinct(F.array(*[f"c{k}" for k in range(CENTRES)]))).alias("centre"))
-    star = met.join(centres, ["key", "band"]).filter("set <> centre").select(
-        F.least("set", "centre").alias("a"), F.greatest("set", "centre").alias("b")).distinct()
+    met = written(met.join(met.groupBy("set").agg(F.sum("total").alias("hub")), "set"), "met-hubs")
+    star = _star_pairs(met)
     links = _linked(star, docs, classes, "star")
     joined = written(components(links), "star-components")
 
-    light = classes.select("set", "n", "bits").join(joined.withColumnRenamed("node", "set"), "set", "left") \
+    light = classes.select("set", "bits", "keys").join(joined.withColumnRenamed("node", "set"), "set", "left") \
         .withColumn("component", F.coalesce("component", "set"))
     links = links.unionByName(_linked(_tile_pairs(met, light), docs, classes, "tile"))
     final = components(links)
