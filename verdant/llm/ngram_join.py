@@ -32,7 +32,7 @@ from verdant.llm.common import ROW, batches_of, groups_of, result, rows_of, scra
 from verdant.llm.components import components
 
 WIDTH = 5              # words of a shingle
-BITS_PER_SHINGLE = 4   # of a signature, at least; a power of two in all
+BITS_PER_SHINGLE = 2   # of a signature, at least; a power of two in all
 HEAVY_COUNT = 16       # documents from which on a shingle moves to the end of the order
 HEAVY_LIST = 100_000   # most frequent of those that move (800 kB); changes the order only
 BLOCK = 512            # sets of a block; a tile has two blocks
@@ -59,11 +59,18 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(out)
 
 
+def _key(own: np.ndarray) -> np.ndarray:
+    """The upper 48 bits of shingle hashes: what sets meet by. Two shingles with
+    one key only make more candidates; a set's order and keys agree."""
+    return (own >> np.uint64(16)).view(np.int64)
+
+
 def prefix(own: np.ndarray, heavy: np.ndarray) -> np.ndarray:
     """The shingles of which a linked set has at least one in its own prefix."""
     count = len(own) - -(-4 * len(own) // 5) + 1
     if len(heavy):
-        late = heavy[np.minimum(np.searchsorted(heavy, own), len(heavy) - 1)] == own
+        key = _key(own)
+        late = heavy[np.minimum(np.searchsorted(heavy, key), len(heavy) - 1)] == key
         own = np.concatenate([own[~late], own[late]])
     return own[:count]
 
@@ -83,13 +90,13 @@ def signature(own: np.ndarray) -> bytes:
 
 def _keys(docs: DataFrame) -> DataFrame:
     """Every document's prefix by hash alone, one row per shingle."""
-    none = np.empty(0, dtype=np.uint64)
+    none = np.empty(0, dtype=np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [prefix(s, none) for t in batch.column("text").to_pylist() if len(s := shingles(t))]
             if parts:
-                key, count = np.unique(np.concatenate(parts).view(np.int64), return_counts=True)
+                key, count = np.unique(_key(np.concatenate(parts)), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(count)], names=["key", "n"])
 
     return docs.select("text").mapInArrow(run, "key bigint, n bigint")
@@ -107,7 +114,7 @@ def _sets(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
             for row, text_hash, doc_id, text in rows_of(batches, ROW, "text_hash", "doc_id", "text"):
                 own = shingles(text)
                 digest = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
-                yield row, text_hash, doc_id, len(own), digest, prefix(own, heavy).view(np.int64) if len(own) else [], signature(own)
+                yield row, text_hash, doc_id, len(own), digest, _key(prefix(own, heavy)) if len(own) else [], signature(own)
 
         yield from batches_of(rows(), SET_SCHEMA, 2048)
 
@@ -120,7 +127,10 @@ def _arrays(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         schema = pa.schema([("set", pa.int64()), ("own", pa.binary())])
         yield from batches_of(((s, shingles(t).tobytes()) for s, t in rows_of(batches, "set", "text")), schema, 512)
 
-    texts = docs.select("text", _text_hash()).join(wanted, "text_hash")
+    # Short hashes first, so that what has to reach every text is small.
+    short = written(wanted.select(F.xxhash64("text_hash").alias("short")).distinct(), "short-hashes")
+    texts = docs.select("text", _text_hash()).join(short, F.xxhash64("text_hash") == F.col("short"), "left_semi") \
+        .join(wanted, "text_hash")
     return texts.groupBy("set").agg(F.first("text").alias("text")).mapInArrow(run, "set bigint, own binary")
 
 
@@ -240,33 +250,31 @@ def _star_pairs(met: DataFrame) -> DataFrame:
     """Every set of a tile with the tile's centres: its least and its largest set
     and that which meets most others, like the original of a group of near copies."""
     rows = _roles(met)
-    one = F.struct("set", "n", "place", "role")
     centres = rows.groupBy("key", "tile").agg(
-        F.min(one).alias("c0"), F.max(one).alias("c1"), F.max(F.struct("hub", one.alias("c"))).getField("c").alias("c2"),
+        F.min("set").alias("c0"), F.max("set").alias("c1"), F.max_by("set", "hub").alias("c2"),
         F.count("*").alias("sets"), F.min("role").alias("low")).filter("sets > 1 AND low = 0") \
-        .select("key", "tile", F.explode(F.array_distinct(F.array("c0", "c1", "c2"))).alias("c"))
-    small, large = F.least("n", "c.n"), F.greatest("n", "c.n")
-    return rows.join(centres, ["key", "tile"]).filter(
-        (F.col("set") != F.col("c.set")) & (F.col("role") + F.col("c.role") < 2) & (4 * large <= 5 * small)
-        & (9 * F.least(F.col("n") - F.col("place"), F.col("c.n") - F.col("c.place")) >= 4 * (small + large))) \
-        .select(F.least("set", "c.set").alias("a"), F.greatest("set", "c.set").alias("b")).distinct()
+        .select("key", "tile", F.explode(F.array_distinct(F.array("c0", "c1", "c2"))).alias("centre"))
+    return rows.join(centres, ["key", "tile"]).filter("set <> centre") \
+        .select(F.least("set", "centre").alias("a"), F.greatest("set", "centre").alias("b")).distinct()
 
 
-def _tile_pairs(met: DataFrame, light: DataFrame) -> DataFrame:
+def _tile_pairs(met: DataFrame, light: DataFrame, per_set: DataFrame) -> DataFrame:
     """Candidate pairs through tiles in which not all sets are connected yet and
-    centres haven't met all others. ``light`` has set, component,
-    bits and keys."""
+    centres haven't met all others. ``light`` has set, component
+    and bits, ``per_set`` the shingles that a set shares with any other."""
     rows = _roles(met.join(light.select("set", "component"), "set"))
     unsettled = rows.groupBy("key", "tile").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("role").alias("low"), F.count("*").alias("sets")) \
         .filter(f"lo <> hi AND low = 0 AND sets > {SETTLED}").select("key", "tile")
     blocks = F.ceil(F.col("total") / BLOCK).cast("int")
-    rows = rows.join(unsettled, ["key", "tile"]).join(light.select("set", "bits", "keys"), "set") \
+    rows = rows.join(unsettled, ["key", "tile"]).join(light.select("set", "bits"), "set") \
+        .join(per_set.select("set", "shared"), "set").withColumn("earlier", F.transform(
+            F.filter("shared", lambda x: x["place"] < F.col("place")), lambda x: x["key"])).drop("shared") \
         .withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("set", "key"), F.col("blocks")).cast("int")) \
         .select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
     rows = rows.select("key", "tile", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"),
                        "role", (F.col("own") > F.col("with")).cast("int").alias("side"), "set", "n", "place", "component", "bits",
-                       F.slice("keys", 1, F.col("place")).alias("earlier"))
+                       "earlier")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs() -> Iterator[tuple]:
@@ -296,27 +304,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def _components(docs: DataFrame) -> DataFrame:
     counts = _keys(docs).groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= HEAVY_COUNT)
-    heavy = np.sort(np.array([r.key for r in counts.orderBy(F.desc("n"), "key").limit(HEAVY_LIST).collect()],
-                             dtype=np.int64).view(np.uint64))
+    heavy = np.sort(np.array([r.key for r in counts.orderBy(F.desc("n"), "key").limit(HEAVY_LIST).collect()], dtype=np.int64))
     sets = written(_sets(docs, heavy), "sets")
     # Classes of equal sets; the row stands for the text, the numbers for the order of ids.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", F.col(ROW).alias("row"))).alias("first")
     per_class = sets.filter("n > 0").groupBy("digest").agg(
         first, F.min("text_hash").alias("text_hash"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("bits").alias("bits"))
-    classes = written(per_class.withColumn("set", F.monotonically_increasing_id()).withColumn(
-        "band", F.floor(F.log("n") / F.log(F.lit(1.25)) + F.lit(1e-9)).cast("int")), "classes")
+    classes = written(per_class.withColumn("set", F.monotonically_increasing_id()), "classes")
 
-    keyed = classes.select(F.posexplode("keys").alias("place", "key"), "set", "band", "n")
+    keyed = classes.select(F.posexplode("keys").alias("place", "key"), "set", "n") \
+        .select("key", "set", (F.shiftleft(F.col("n").cast("bigint"), 32) + F.col("place")).alias("at"))
     repeated = keyed.groupBy("key").agg(F.count("*").alias("total")).filter("total > 1")
-    met = written(keyed.join(repeated, "key"), "met")
-    met = written(met.join(met.groupBy("set").agg(F.sum("total").alias("hub")), "set"), "met-hubs")
+    met = written(keyed.join(repeated, "key").select(
+        "key", "set", "total", F.shiftright("at", 32).cast("int").alias("n"), F.col("at").bitwiseAND(0xFFFFFFFF).cast("int").alias("place"))
+        .withColumn("band", F.floor(F.log("n") / F.log(F.lit(1.25)) + F.lit(1e-9)).cast("int")), "met")
+    per_set = written(met.groupBy("set").agg(F.sum("total").alias("hub"), F.collect_list(F.struct("place", "key")).alias("shared")),
+                      "per-set")
+    met = written(met.join(per_set.select("set", "hub"), "set"), "met-hubs")
     star = _star_pairs(met)
     links = _linked(star, docs, classes, "star")
     joined = written(components(links), "star-components")
 
-    light = classes.select("set", "bits", "keys").join(joined.withColumnRenamed("node", "set"), "set", "left") \
+    light = classes.select("set", "bits").join(joined.withColumnRenamed("node", "set"), "set", "left") \
         .withColumn("component", F.coalesce("component", "set"))
-    links = links.unionByName(_linked(_tile_pairs(met, light), docs, classes, "tile"))
+    links = links.unionByName(_linked(_tile_pairs(met, light, per_set), docs, classes, "tile"))
     final = components(links)
 
     grouped = classes.select("set", "digest", "first").join(final.withColumnRenamed("node", "set"), "set", "left") \
