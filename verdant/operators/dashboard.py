@@ -91,7 +91,9 @@ def peak_login(hourly: DataFrame, dims: Sequence[str] = ("hour", "user_age", "us
                                      F.col(d).cast("string").alias("value"))
                             for d in dims])).alias("d"))
     sums = stacked.groupBy("date", "d.dimension", "d.value").agg(_sum("login"))
-    w = Window.partitionBy("date", "dimension").orderBy(F.desc("login"), F.asc("value"))
+    # Numbers compare as numbers: hour 9 comes before hour 10.
+    w = Window.partitionBy("date", "dimension").orderBy(
+        F.desc("login"), F.col("value").try_cast("bigint").asc_nulls_last(), F.asc("value"))
     return sums.withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn")
 
 

@@ -21,12 +21,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdant.session import materialize
-from verdant.sources.tables import spread
 
 K1 = 1.2
 B = 0.75
 TOP_K = 30
-WEIGHTS_BROADCAST_ROWS = 1_000_000   # (query, field, term) rows broadcast at most
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
 
@@ -39,12 +37,6 @@ def tokens(text) -> Column:
                       F.array().cast("array<string>"))
 
 
-def balance(df: DataFrame) -> DataFrame:
-    """Spread a small input over all cores before CPU-heavy per-row text work
-    (see ``verdant.sources.tables.spread``)."""
-    return spread(df)
-
-
 def catalog_clean(raw: DataFrame, key: Sequence[str] = ("title", "volume")) -> DataFrame:
     """Trim text fields, drop rows without a title, keep one row per key
     (the smallest ``doc_id``); partial aggregation absorbs duplicated keys."""
@@ -58,7 +50,6 @@ def catalog_clean(raw: DataFrame, key: Sequence[str] = ("title", "volume")) -> D
 def postings(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
     """(field, term, doc_id, tf) plus each document's field length ``dl``."""
     out = None
-    docs = balance(docs)
     for f in fields:
         toks = docs.select("doc_id", tokens(f).alias("toks"))
         # explode_outer: plain explode would add an inferred size(toks) > 0
@@ -115,13 +106,8 @@ def bm25_search(queries: DataFrame, docs: DataFrame, fields: Sequence[str],
     qt = query_terms(queries).join(dfreq, "term")
     idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weights = qt.select("query_id", "field", "term", idf.alias("idf"), avgdl.alias("avgdl"))
-    # The weights (one row per query term and field) are the side to build
-    # the hash table on: every postings row, a common term's included, then
-    # probes locally and no partition holds a hot term's whole list. They
-    # grow with the query batch, so the broadcast sits behind a row count;
-    # above the bound the planner chooses (shuffle join, AQE skew splits).
-    if weights.count() <= WEIGHTS_BROADCAST_ROWS:
-        weights = F.broadcast(weights)
+    # Which side builds the hash table is the planner's choice by bytes; beyond
+    # the broadcast bound the join shuffles and splits hot terms.
     hits = weights.join(post, ["field", "term"])
     norm = F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl"))
     term_score = F.col("idf") * F.col("tf") * (k1 + 1) / norm

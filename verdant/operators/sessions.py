@@ -167,4 +167,7 @@ def warm_week(hourly: DataFrame, dwell: DataFrame, day: str, days: int = 7) -> D
     dwell_seg = d.groupBy("date", "user_age", "user_region", "user_gender").agg(
         F.avg("dwell_seconds").alias("avg_dwell_seconds"),
         F.count("dwell_seconds").alias("n_dwell"))
-    return daily.join(dwell_seg, ["date", "user_age", "user_region", "user_gender"], "left")
+    keys = ["date", "user_age", "user_region", "user_gender"]
+    same = [F.col(f"d.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+    return daily.alias("d").join(dwell_seg.alias("s"), same, "left").select(
+        "d.*", "s.avg_dwell_seconds", "s.n_dwell")

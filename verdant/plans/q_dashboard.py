@@ -23,11 +23,11 @@ def _in(values) -> str:
 
 
 def hourly(spark, d):
-    return seg.common_hourly(fx.logs(spark, d))
+    return seg.common_hourly(fx.logs(spark, d, parts=False))
 
 
 def search(spark, d):
-    return seg.search_daily(fx.logs(spark, d))
+    return seg.search_daily(fx.logs(spark, d, types=("view",)))
 
 
 def on_hourly(body: str) -> str:
@@ -80,7 +80,7 @@ def q_login_by_gender(spark, d):
 
 @register("peak_login", on_hourly("""
 SELECT date, value, login, dimension FROM (
-  SELECT *, row_number() OVER (PARTITION BY date, dimension ORDER BY login DESC, value ASC) AS rn
+  SELECT *, row_number() OVER (PARTITION BY date, dimension ORDER BY login DESC, TRY_CAST(value AS BIGINT) ASC NULLS LAST, value ASC) AS rn
   FROM (""" + "\n    UNION ALL\n".join(
     f"    SELECT date, CAST({c} AS VARCHAR) AS value, CAST(sum(login) AS BIGINT) AS login,"
     f" '{c}' AS dimension FROM hourly GROUP BY 1, 2"

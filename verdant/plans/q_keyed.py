@@ -63,7 +63,7 @@ CLICK_COLS = ["date", "product_name", "product_volume", "user_age", "user_gender
     "SELECT CAST(to_json({" + ", ".join(f"'{c}': {c}" for c in CLICK_COLS) + "}) AS VARCHAR)"
     " AS value FROM clicks", "logs", extra={"clicks": CLICK_DAILY_SQL}))
 def q_click_payload(spark, d):
-    return env.click_payload(seg.click_daily(fx.logs(spark, d), fx.LOGS_AS_OF, sort=False))
+    return env.click_payload(seg.click_daily(fx.logs(spark, d, types=("click",)), fx.LOGS_AS_OF, sort=False))
 
 
 REDACT_INPUT = ["member_id", "user_gender", "user_age", "user_region", "topic", "key",
@@ -98,7 +98,7 @@ SELECT member_id, key, topic, ts, event_id FROM (
   SELECT *, row_number() OVER (PARTITION BY member_id ORDER BY ts DESC, event_id DESC) AS rn
   FROM logs) WHERE rn = 1""", "logs"))
 def q_kv_latest(spark, d):
-    return kt.latest_by_key(fx.logs(spark, d), ["member_id"], ["ts", "event_id"],
+    return kt.latest_by_key(fx.logs(spark, d, parts=False), ["member_id"], ["ts", "event_id"],
                             ["key", "topic"])
 
 
@@ -109,14 +109,14 @@ COMMON_KEY_SQL = """concat_ws(':', date, CAST(hour AS VARCHAR), coalesce(user_ge
 @register("common_key", with_views(f"SELECT *, {COMMON_KEY_SQL} AS key FROM hourly", "logs",
                                    extra={"hourly": COMMON_HOURLY_SQL}))
 def q_common_key(spark, d):
-    return kt.with_key(seg.common_hourly(fx.logs(spark, d)), kt.COMMON_KEY_PARTS)
+    return kt.with_key(seg.common_hourly(fx.logs(spark, d, parts=False)), kt.COMMON_KEY_PARTS)
 
 
 @register("search_key", with_views("""
 SELECT *, concat_ws(':', date, coalesce(gender, 'none'), coalesce(CAST(age AS VARCHAR), 'none'),
   coalesce(word, 'none')) AS key FROM search""", "logs", extra={"search": SEARCH_DAILY_SQL}))
 def q_search_key(spark, d):
-    return kt.with_key(seg.search_daily(fx.logs(spark, d)), kt.SEARCH_KEY_PARTS)
+    return kt.with_key(seg.search_daily(fx.logs(spark, d, types=("view",))), kt.SEARCH_KEY_PARTS)
 
 
 @register("window_day_text", with_views("""
@@ -124,7 +124,7 @@ SELECT DISTINCT date_trunc('hour', ts) AS window_start, strftime(ts, '%Y%m%d') A
 FROM logs"""
                                         , "logs"))
 def q_window_day_text(spark, d):
-    w = fx.logs(spark, d).select(F.window("ts", "60 minutes").alias("window")).distinct()
+    w = fx.logs(spark, d, members=False, parts=False).select(F.window("ts", "60 minutes").alias("window")).distinct()
     return w.select(F.col("window.start").alias("window_start"),
                     S.window_day_text("window").alias("date_text"))
 
@@ -137,7 +137,7 @@ FROM (SELECT {COMMON_KEY_SQL} AS key FROM hourly)"""
 
 
 def _split(spark, d):
-    keys = kt.with_key(seg.common_hourly(fx.logs(spark, d)), kt.COMMON_KEY_PARTS).select("key")
+    keys = kt.with_key(seg.common_hourly(fx.logs(spark, d, parts=False)), kt.COMMON_KEY_PARTS).select("key")
     return kt.split_keys(keys, kt.COMMON_KEY_PARTS)
 
 
@@ -154,19 +154,19 @@ def q_coerce_numeric(spark, d):
     return kt.coerce_numeric(_split(spark, d))
 
 
-def _day_logs(spark, d):
+def _day_logs(spark, d, **asked):
     start, end = kt.day_range(DAY)
-    logs = fx.logs(spark, d)
+    logs = fx.logs(spark, d, **asked)
     return logs.filter((F.col("ts") >= start) & (F.col("ts") < end))
 
 
 @register("scan_common_day", with_views(f"SELECT * FROM hourly WHERE date = '{DAY}'", "logs",
                                         extra={"hourly": COMMON_HOURLY_SQL}))
 def q_scan_common_day(spark, d):
-    return kt.scan_day(seg.common_hourly(_day_logs(spark, d)), DAY)
+    return kt.scan_day(seg.common_hourly(_day_logs(spark, d, parts=False)), DAY)
 
 
 @register("scan_search_day", with_views(f"SELECT * FROM search WHERE date = '{DAY}'", "logs",
                                         extra={"search": SEARCH_DAILY_SQL}))
 def q_scan_search_day(spark, d):
-    return kt.scan_day(seg.search_daily(_day_logs(spark, d)), DAY)
+    return kt.scan_day(seg.search_daily(_day_logs(spark, d, types=("view",))), DAY)

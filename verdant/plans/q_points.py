@@ -151,7 +151,7 @@ def q_photo_points(spark, d):
 SELECT member_id, strftime(ts, '%Y-%m') AS month_kb, CAST(sum(save_point) AS BIGINT) AS point_amt
 FROM logs WHERE key IN ('1', '2') AND member_id <> 'none' GROUP BY 1, 2""", "logs"))
 def q_points_ledger(spark, d):
-    return pt.points_ledger(fx.logs(spark, d))
+    return pt.points_ledger(fx.logs(spark, d, parts=False, types=("purchase",)))
 
 
 @register("training_manifest", with_views("""
@@ -243,12 +243,12 @@ def _top_sql(by: str) -> str:
 
 @register("top5_by_age", _top_sql("age"))
 def q_top5_by_age(spark, d):
-    return mb.top_words(seg.search_daily(fx.logs(spark, d)), "age")
+    return mb.top_words(seg.search_daily(fx.logs(spark, d, types=("view",))), "age")
 
 
 @register("top5_by_gender", _top_sql("gender"))
 def q_top5_by_gender(spark, d):
-    return mb.top_words(seg.search_daily(fx.logs(spark, d)), "gender")
+    return mb.top_words(seg.search_daily(fx.logs(spark, d, types=("view",))), "gender")
 
 
 def _member_top_sql(by: str) -> str:
@@ -267,13 +267,13 @@ JOIN (SELECT * FROM top WHERE date = '{fx.DASHBOARD_DAY}') t ON m.{by} = t.{by}"
 
 @register("member_top5_age", _member_top_sql("age"))
 def q_member_top5_age(spark, d):
-    top = mb.top_words(seg.search_daily(fx.logs(spark, d)), "age")
+    top = mb.top_words(seg.search_daily(fx.logs(spark, d, types=("view",))), "age")
     return mb.member_top_words(fx.members(spark, d), top, fx.DASHBOARD_DAY, "age", AS_OF_DAY)
 
 
 @register("member_top5_gender", _member_top_sql("gender"))
 def q_member_top5_gender(spark, d):
-    top = mb.top_words(seg.search_daily(fx.logs(spark, d)), "gender")
+    top = mb.top_words(seg.search_daily(fx.logs(spark, d, types=("view",))), "gender")
     return mb.member_top_words(fx.members(spark, d), top, fx.DASHBOARD_DAY, "gender", AS_OF_DAY)
 
 

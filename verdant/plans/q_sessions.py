@@ -39,7 +39,7 @@ SESSION_EXTRA = {
 SELECT member_id, session_start, session_end, expires_at, n_events, last_key, last_event_id
 FROM sess""", "logs", extra=SESSION_EXTRA))
 def q_session_windows(spark, d):
-    return ss.session_windows(fx.logs(spark, d))
+    return ss.session_windows(fx.logs(spark, d, parts=False))
 
 
 @register("session_expired", with_views("""
@@ -49,7 +49,7 @@ FROM sess s LEFT JOIN (SELECT member_id, prev_id, ts FROM mf WHERE new = 1 AND p
   ON s.member_id = n.member_id AND s.last_event_id = n.prev_id
 WHERE s.last_key <> 'logout'""", "logs", extra=SESSION_EXTRA))
 def q_session_expired(spark, d):
-    return ss.session_expired(fx.logs(spark, d))
+    return ss.session_expired(fx.logs(spark, d, parts=False))
 
 
 DWELL_BODY = """
@@ -65,7 +65,7 @@ WHERE key = 'login'"""
 
 @register("dwell_time", with_views(DWELL_BODY, "logs"))
 def q_dwell_time(spark, d):
-    return ss.dwell_time(fx.logs(spark, d))
+    return ss.dwell_time(fx.logs(spark, d, parts=False))
 
 
 METRICS_SQL = ", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in seg.METRIC_NAMES)
@@ -82,10 +82,10 @@ LEFT JOIN (
     count(dw.dwell_seconds) AS n_dwell
   FROM dwell dw JOIN logs l ON dw.event_id = l.event_id
   GROUP BY 1, 2, 3, 4) w
-ON d.date = w.date AND d.user_age = w.user_age AND d.user_region = w.user_region
-  AND d.user_gender = w.user_gender""", "logs", extra={"hourly": COMMON_HOURLY_SQL,
+ON d.date = w.date AND d.user_age IS NOT DISTINCT FROM w.user_age
+  AND d.user_region IS NOT DISTINCT FROM w.user_region AND d.user_gender IS NOT DISTINCT FROM w.user_gender""", "logs", extra={"hourly": COMMON_HOURLY_SQL,
                                                       "dwell": DWELL_BODY}))
 def q_warm_week(spark, d):
-    logs = fx.logs(spark, d)
+    logs = fx.logs(spark, d, parts=False)
     out = ss.warm_week(seg.common_hourly(logs), ss.dwell_time(logs, keep=ss.SEGMENT_COLUMNS), DAY)
     return out.withColumn("avg_dwell_seconds", F.round("avg_dwell_seconds", 3))

@@ -24,10 +24,10 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
   FROM events"""),
     "logs0": (("members", "ev"), f"""
   SELECT e.event_id, e.ts, e.k,
-    CASE WHEN {VISITOR_COND} THEN 'none' ELSE m.member_id END AS member_id,
-    CASE WHEN {VISITOR_COND} THEN 'none' ELSE m.gender_kb END AS user_gender,
-    CASE WHEN {VISITOR_COND} THEN 'none' ELSE CAST(m.age AS VARCHAR) END AS user_age,
-    CASE WHEN {VISITOR_COND} THEN 'none' ELSE m.region_kb END AS user_region,
+    CASE WHEN {VISITOR_COND} THEN 'none' ELSE coalesce(m.member_id, 'none') END AS member_id,
+    CASE WHEN {VISITOR_COND} THEN 'none' ELSE coalesce(m.gender_kb, 'none') END AS user_gender,
+    CASE WHEN {VISITOR_COND} THEN 'none' ELSE coalesce(CAST(m.age AS VARCHAR), 'none') END AS user_age,
+    CASE WHEN {VISITOR_COND} THEN 'none' ELSE coalesce(m.region_kb, 'none') END AS user_region,
     CASE WHEN e.event_type = 'signup' THEN 'login'
          WHEN e.event_type = 'error' AND e.k % 2 = 0 THEN 'logout'
          WHEN e.event_type = 'error' THEN 'lesswaste'

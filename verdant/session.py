@@ -46,12 +46,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage cuts.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system). Only when the setting is missing, as in local tests, a
-    scratch folder is created and recorded in the session.
+    file system). Only in local mode, when the setting is missing, a scratch
+    folder is created and recorded in the session; a cluster without the
+    setting is an error.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="verdant-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
@@ -61,12 +64,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def materialize(df):
     """Write ``df`` once to the shared checkpoint folder (a reliable
     checkpoint) and read it back, cutting the lineage, so an intermediate
-    with several consumers is computed once. Where the session has no
-    context access (a remote session), the plan is used as is."""
-    try:
-        checkpoint_dir(df.sparkSession)
-    except Exception:  # noqa: BLE001
-        return df
+    with several consumers is computed once."""
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 

@@ -60,10 +60,20 @@ LOG_COLUMNS = ["event_id", "ts", "k", "member_id", "user_gender", "user_age",
                "partition"]
 
 
-def logs(spark: SparkSession, data_dir: str) -> DataFrame:
-    ev = fact_table(spark, data_dir, "events", "event_id", "ts", "user_id", "event_type",
-                    "props").select("event_id", "ts", "user_id", "event_type",
-                                    _k(F.col("props")).alias("k"))
+PART_COLUMNS = ("search_word", "product_name", "product_volume", "product_unitprice")
+MEMBER_COLUMNS = ("member_id", "user_gender", "user_age", "user_region")
+
+
+def logs(spark: SparkSession, data_dir: str, members: bool = True, parts: bool = True,
+         types: tuple[str, ...] = ()) -> DataFrame:
+    """Flattened events. ``members`` and ``parts`` ask for the columns of those
+    dimensions, and only what is asked for is joined. ``types`` names the event
+    types a caller needs; the filter reaches the scan. A visitor's and an
+    unknown member's attributes are ``none``."""
+    ev = fact_table(spark, data_dir, "events", "event_id", "ts", "user_id", "event_type", "props")
+    if types:
+        ev = ev.filter(F.col("event_type").isin(*types))
+    ev = ev.select("event_id", "ts", "user_id", "event_type", _k(F.col("props")).alias("k"))
     # Joined to the raw dimension scans (not to the derived member table), so
     # Catalyst sizes each side from its files: small sides are broadcast,
     # a large customer table is sort-merge joined with AQE skew splitting.
@@ -72,15 +82,19 @@ def logs(spark: SparkSession, data_dir: str) -> DataFrame:
     r = table(spark, data_dir, "region").select("r_regionkey", "r_name")
     part = table(spark, data_dir, "part").select("p_partkey", "p_name", "p_size",
                                                  "p_retailprice")
-    j = (ev.join(c, ev.user_id == c.c_custkey, "left")
-           .join(n, F.col("c_nationkey") == n.n_nationkey, "left")
-           .join(r, F.col("n_regionkey") == r.r_regionkey, "left")
-           .join(part, ev.k == part.p_partkey, "left"))
+    j = ev
+    if parts:
+        j = j.join(part, ev.k == part.p_partkey, "left")
+    if members:
+        j = (j.join(c, ev.user_id == c.c_custkey, "left")
+              .join(n, F.col("c_nationkey") == n.n_nationkey, "left")
+              .join(r, F.col("n_regionkey") == r.r_regionkey, "left"))
     # A member exists when the customer -> nation -> region chain is complete
     # (the inner joins of ``members``).
     found = F.col("r_regionkey").isNotNull()
     age = (F.lit(15) + (F.col("c_custkey") * 7) % 60).cast("int")
-    j = j.select("*",
+    if members:
+        j = j.select("*",
                  F.when(found, F.col("c_custkey").cast("string")).alias("member_id"),
                  F.when(found, F.when(F.col("c_custkey") % 2 == 0, "W").otherwise("M")).alias("gender_kb"),
                  F.when(found, age).alias("age"),
@@ -98,27 +112,28 @@ def logs(spark: SparkSession, data_dir: str) -> DataFrame:
     visitor = (F.col("user_id") % 10 == 0)
 
     def member_field(c: Column) -> Column:
-        return F.when(visitor, F.lit(S.VISITOR)).otherwise(c)
+        return F.when(visitor, F.lit(S.VISITOR)).otherwise(F.coalesce(c, F.lit(S.VISITOR)))
 
     menu = (F.when(k % 8 == 0, "nolabel").when(k % 8 == 2, "ecopoint1")
             .when(k % 8 == 4, "ecopoint2").when(k % 8 == 6, "lesswaste"))
     is_click = et == "click"
     price = F.when(k % 10 == 7, F.lit("1,200")) \
         .otherwise(F.floor(F.col("p_retailprice")).cast("bigint").cast("string"))
-    out = j.select(
-        "event_id", "ts", "k",
-        member_field(F.col("member_id")).alias("member_id"),
-        member_field(F.col("gender_kb")).alias("user_gender"),
-        member_field(F.col("age").cast("string")).alias("user_age"),
-        member_field(F.col("region_kb")).alias("user_region"),
-        key.alias("key"),
-        F.when((et == "view") & even, menu).alias("selected_menu"),
-        F.when(et == "purchase", (F.lit(10) * (k % 6)).cast("int")).alias("save_point"),
-        F.when((et == "view") & ~even, F.col("p_name")).alias("search_word"),
-        F.when(is_click, F.col("p_name")).alias("product_name"),
-        F.when(is_click, F.concat(F.col("p_size").cast("string"), F.lit("ml"))).alias("product_volume"),
-        F.when(is_click, price).alias("product_unitprice"),
-    )
+    columns = ["event_id", "ts", "k"]
+    if members:
+        columns += [member_field(F.col("member_id")).alias("member_id"),
+                    member_field(F.col("gender_kb")).alias("user_gender"),
+                    member_field(F.col("age").cast("string")).alias("user_age"),
+                    member_field(F.col("region_kb")).alias("user_region")]
+    columns += [key.alias("key"), F.when((et == "view") & even, menu).alias("selected_menu"),
+                F.when(et == "purchase", (F.lit(10) * (k % 6)).cast("int")).alias("save_point")]
+    if parts:
+        columns += [
+            F.when((et == "view") & ~even, F.col("p_name")).alias("search_word"),
+            F.when(is_click, F.col("p_name")).alias("product_name"),
+            F.when(is_click, F.concat(F.col("p_size").cast("string"), F.lit("ml"))).alias("product_volume"),
+            F.when(is_click, price).alias("product_unitprice")]
+    out = j.select(*columns)
     return out.withColumn("topic", S.route_topic("key")) \
               .withColumn("partition", S.route_partition("key"))
 

@@ -18,6 +18,7 @@ from verdant.operators.keyed import latest_by_key
 def write_bus(records: DataFrame, topic: str, path: str | None = None,
               servers: str | None = None, partition: int | None = None) -> None:
     """S9 (+P14): records with ``value`` (and optional ``key``) to a topic.
+    Without a partition the bus deals records itself; files lie in the topic's folder.
     ``partition`` pins every record to one partition, as the click job does."""
     out = records
     if partition is not None:
@@ -29,8 +30,9 @@ def write_bus(records: DataFrame, topic: str, path: str | None = None,
     if path is None:
         raise ValueError("either servers or path is required")
     cols = [c for c in ("key", "value", "partition") if c in out.columns]
+    folders = [c for c in ("topic", "partition") if c == "topic" or c in cols]
     (out.select(*cols).withColumn("topic", F.lit(topic))
-        .write.mode("append").partitionBy("topic", "partition").json(path))
+        .write.mode("append").partitionBy(*folders).json(path))
 
 
 def export_csv(df: DataFrame, path: str) -> None:

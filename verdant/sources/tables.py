@@ -16,19 +16,6 @@ def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread an input that scans as fewer splits than there are cores (a
-    file with one row group, say) over all cores, so per-row work after the
-    scan runs in parallel. Large inputs scan as many splits and are returned
-    unchanged, so this never adds a shuffle at scale."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): keep the plan
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
 def fact_table(spark: SparkSession, data_dir: str, name: str, *cols: str) -> DataFrame:
-    """A fact table with only ``cols``, spread over the cores when small."""
-    return spread(table(spark, data_dir, name).select(*cols))
+    """A fact table with only ``cols``."""
+    return table(spark, data_dir, name).select(*cols)
