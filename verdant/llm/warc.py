@@ -76,7 +76,7 @@ def write_file(path: str, records: list[bytes]) -> tuple[int, int]:
     compressor = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, dict_data=dictionary and zstandard.ZstdCompressionDict(dictionary))
     store, name = fs.FileSystem.from_uri(path)
     store.create_dir(name.rpartition("/")[0], recursive=True)
-    with store.open_output_stream(name) as out:
+    with store.open_output_stream(name, compression=None) as out:
         size = 0
         if dictionary:
             frame = zstandard.ZstdCompressor(level=LEVEL).compress(dictionary)
@@ -89,7 +89,7 @@ def write_file(path: str, records: list[bytes]) -> tuple[int, int]:
 def read_file(path: str) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of every record, in order; memory holds one record."""
     store, name = fs.FileSystem.from_uri(path)
-    with store.open_input_stream(name) as source:
+    with store.open_input_stream(name, compression=None) as source:
         start = source.read(8)
         dictionary, ahead = None, start
         if len(start) == 8 and struct.unpack("<I", start[:4])[0] == SKIPPABLE:
