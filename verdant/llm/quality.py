@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DICT_DOCS = 2_000       # labelled documents of a class behind its dictionary
-FIT_DOCS = 6_000        # labelled documents behind the calibration
+FIT_DOCS = 4_000        # labelled documents behind the calibration
 SAMPLE_CHARS = 4_096    # characters taken from one of those
 DICT_BYTES = 112_640    # size of a dictionary
 WINDOW = 1_024          # bytes compressed at a time
@@ -100,18 +100,20 @@ def fit(docs: DataFrame, labels: DataFrame) -> CompressionModel:
     text and the score is the share of label 1 (0.5 without any label)."""
     marks = (labels.select("doc_id", "quality").dropna().groupBy("doc_id")
              .agg(F.max("quality").alias("_quality")))
-    order = F.xxhash64(F.col("doc_id"), F.lit(7))
-    start = F.pmod(order, F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1))).cast("int") + 1
-    rows = (docs.select("doc_id", "text").filter(F.length("text") > 0).join(marks, "doc_id")
-            .filter(fold(F.col("doc_id")) != 1)
-            .select(order.alias("at"), "_quality", F.col("text").substr(start, F.lit(SAMPLE_CHARS)).alias("piece")))
-    rows = rows.orderBy("at", "piece")
-    in_dictionary = F.pmod(F.col("at"), F.lit(2)) == 0
-    parts = {k: [r.piece.encode() for r in rows.filter(in_dictionary & (F.col("_quality") == k)).limit(DICT_DOCS).collect()]
-             for k in (1, 0)}
+    marks = marks.filter(fold(F.col("doc_id")) != 1).withColumn("_at", F.xxhash64(F.col("doc_id"), F.lit(7)))
+    in_dictionary = F.pmod(F.col("_at"), F.lit(2)) == 0
+    chosen = [marks.filter(in_dictionary & (F.col("_quality") == k)).orderBy("_at", "doc_id").limit(DICT_DOCS) for k in (1, 0)]
+    chosen = chosen[0].unionByName(chosen[1]).unionByName(marks.filter(~in_dictionary).orderBy("_at", "doc_id").limit(FIT_DOCS))
+    # At most 2 * DICT_DOCS + FIT_DOCS ids, so texts stay where they are.
+    start = F.pmod(F.col("_at"), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1))).cast("int") + 1
+    rows = docs.select("doc_id", "text").filter(F.length("text") > 0).join(F.broadcast(chosen), "doc_id") \
+        .select("_at", "_quality", F.col("text").substr(start, F.lit(SAMPLE_CHARS)).alias("piece")) \
+        .groupBy("_at", "_quality").agg(F.min("piece").alias("piece")).collect()
+    rows.sort(key=lambda r: (r["_at"], r.piece))
+    parts = {k: [r.piece.encode() for r in rows if r["_at"] % 2 == 0 and r["_quality"] == k] for k in (1, 0)}
     dictionary = {k: _dictionary(v) for k, v in parts.items()}
     model = CompressionModel(dictionary[1], dictionary[0], ())
-    sample = rows.filter(~in_dictionary).limit(FIT_DOCS).collect()
+    sample = [r for r in rows if r["_at"] % 2]
     y = np.array([float(r["_quality"] == 1) for r in sample])
     if not len(y) or not parts[0] or not parts[1] or y.min() == y.max():
         share = min(max(y.mean() if len(y) else 0.5, 1e-3), 1 - 1e-3)
