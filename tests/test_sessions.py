@@ -24,7 +24,7 @@ def brute_sessions(rows):
         start = last = None
         n = 0
         for r in evs:
-            if last is None or r.ts > last.ts + GAP:
+            if last is None or r.ts > last.ts + GAP or last.key == "logout":
                 if last is not None:
                     out.add((m, start, last.ts, n, last.key))
                 start, n = r.ts, 0
@@ -70,6 +70,28 @@ def test_exactly_one_gap_stays_in_session(spark):
     assert exp == {("a", dt.datetime(2024, 1, 1, 11, 0, 0, 1)), ("a", None)}
 
 
+def test_logout_ends_a_session(spark):
+    ev = _events(spark, [
+        ("a", "2024-01-01 00:00:00", "login"),
+        ("a", "2024-01-01 00:05:00", "logout"),
+        ("a", "2024-01-01 00:15:00", "login"),
+        ("a", "2024-01-01 00:20:00", "search"),
+        # all at one instant, and a logout just before a bucket edge
+        ("b", "2024-01-01 00:59:59", "login"),
+        ("b", "2024-01-01 00:59:59", "logout"),
+        ("b", "2024-01-01 00:59:59", "login"),
+        ("b", "2024-01-01 00:59:59", "logout"),
+        ("b", "2024-01-01 01:00:00", "login"),
+    ])
+    got = sorted((r.member_id, r.n_events, r.last_key) for r in ss.session_windows(ev).collect())
+    assert got == [("a", 2, "logout"), ("a", 2, "search"), ("b", 1, "login"),
+                   ("b", 2, "logout"), ("b", 2, "logout")]
+    exp = {(r.member_id, r.session_start.minute) for r in ss.session_expired(ev).collect()}
+    assert exp == {("a", 15), ("b", 0)}
+    whole = ss.session_windows(ev, logout_ends=False).collect()
+    assert sorted(r.n_events for r in whole) == [4, 5]
+
+
 def test_dwell_next_event_must_be_logout(spark):
     ev = _events(spark, [
         ("a", "2024-01-01 10:00:00", "login"),

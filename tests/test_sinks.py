@@ -60,3 +60,24 @@ def test_keyed_table_compaction_and_partition_pruning(spark, scratch):
     # a day read touches only that day's folders
     plan = t.read("20240101")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "20240101" in plan
+
+
+def test_keyed_table_keeps_rows_when_writers_change(spark, scratch):
+    def batch(*rows):
+        return spark.createDataFrame(list(rows), "date string, k string, v bigint")
+
+    day = "20240101"
+    t = sinks.KeyedTable(spark, os.path.join(scratch, "kt"), ["date", "k"])
+    t.upsert(batch((day, "a", 1), (day, "b", 2)), 0, "w1")
+    t.upsert(batch((day, "a", 5)), 1, "w1")
+    t.upsert(batch((day, "a", 100)), 0, "w2")     # a new writer starts at batch 0
+    want = {("a", 100), ("b", 2)}
+    assert {(r.k, r.v) for r in t.read().collect()} == want
+    target = os.path.join(scratch, "compact")
+    t.compact(target)
+    c = sinks.KeyedTable(spark, target, ["date", "k"])
+    assert {(r.k, r.v) for r in c.read().collect()} == want
+    c.upsert(batch((day, "c", 7)), 0, "w3")       # after compaction, too
+    c.upsert(batch((day, "a", 101)), 1, "w2")     # and for a writer that goes on
+    assert {(r.k, r.v) for r in c.read().collect()} == {("a", 101), ("b", 2), ("c", 7)}
+    assert c.generation("w1") == 0 and c.generation("w3") == 2

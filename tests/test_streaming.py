@@ -91,7 +91,8 @@ def test_session_stream_equals_batch_for_closed_sessions(spark, scratch):
     assert n > 0
     cols = ["member_id", "session_start", "session_end", "n_events"]
     # The envelope carries event time to the millisecond.
-    batch = ss.session_windows(logs.withColumn("ts", F.date_trunc("millisecond", "ts"))).select(
+    batch = ss.session_windows(logs.withColumn("ts", F.date_trunc("millisecond", "ts")),
+                               logout_ends=False).select(
         "member_id", F.col("session_start").cast("timestamp").alias("session_start"),
         F.col("session_end").cast("timestamp").alias("session_end"), "n_events")
     # Every emitted session is one of the batch sessions; the ones not yet
@@ -116,6 +117,23 @@ def test_search_stream_equals_batch(spark, scratch):
     assert _rows(table.read(), cols) == _rows(seg.search_daily(logs), cols)
 
 
+def test_new_checkpoint_is_a_newer_generation(spark, scratch):
+    # A new checkpoint counts its batches from 0 again; its rows still replace
+    # older ones, and keys it does not carry stay.
+    path, keys = os.path.join(scratch, "kt"), ["date", "k"]
+    for run, rows in enumerate(([("20240101", "a", 5), ("20240101", "b", 2)], [("20240101", "a", 100)])):
+        src = os.path.join(scratch, f"src{run}")
+        spark.createDataFrame(rows, "date string, k string, v bigint").write.parquet(src)
+        df = spark.readStream.schema("date string, k string, v bigint").parquet(src)
+        q = jobs.start_keyed_upsert(df, KeyedTable(spark, path, keys), f"gen_{run}",
+                                    trigger={"availableNow": True},
+                                    checkpoint=os.path.join(scratch, f"ckpt{run}"))
+        q.awaitTermination(300)
+    table = KeyedTable(spark, path, keys)
+    assert {(r.k, r.v) for r in table.read().collect()} == {("a", 100), ("b", 2)}
+    assert {r.generation for r in table.raw().collect()} == {0, 1}
+
+
 def _log_row(ts, word):
     return (dt.datetime.fromisoformat(ts), "search", "7", "W", "30", "ASIA", None, None, word,
             None, None, None)
@@ -135,7 +153,7 @@ def test_late_search_rows_are_dropped(spark, scratch):
     b2 = spark.createDataFrame([_log_row("2024-01-01 12:00:00", "late"),
                                 _log_row("2024-01-03 12:00:10", "a")], LOG_SCHEMA)
     table = KeyedTable(spark, os.path.join(scratch, "search"), ["date", "gender", "age", "word"])
-    # Two runs on one checkpoint: the second file arrives after the first run.
+    # Two runs on one checkpoint (one writer): the second file arrives after the first run.
     for i, b in enumerate((b1, b2)):
         _append_in_order(env.to_binary_record(env.encode_envelope(b)), src, i)
         records = jobs.read_bus_stream(spark, ["log_nolabel"], path=src)
@@ -163,17 +181,3 @@ def test_quota_stream_equals_batch_verdicts(spark, scratch):
     got = {r.event_id: r.verdict for r in spark.read.parquet(out).collect()}
     expected = {r.event_id: r.verdict for r in pt.upload_verdict(up).collect()}
     assert got == expected
-
-
-def test_late_rows_side_output_matches_the_stream_rule(spark):
-    # Same arrival as test_late_search_rows_are_dropped: the row of a closed
-    # day window is the side output; the on-time rows are not.
-    rows = spark.createDataFrame(
-        [(0, dt.datetime(2024, 1, 3, 12, 0, 0)), (1, dt.datetime(2024, 1, 1, 12, 0, 0)),
-         (1, dt.datetime(2024, 1, 3, 12, 0, 10)), (2, dt.datetime(2024, 1, 3, 11, 59, 0))],
-        "batch bigint, ts timestamp_ntz")
-    late = jobs.late_rows(rows, "ts", "batch", 30, window="1440 minutes").collect()
-    assert [(r.batch, r.ts.day) for r in late] == [(1, 1)]
-    # without a window, event time itself is compared with the watermark
-    late = jobs.late_rows(rows, "ts", "batch", 30).orderBy("batch").collect()
-    assert [(r.batch, r.ts.day, r.ts.minute) for r in late] == [(1, 1, 0), (2, 3, 59)]

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdant.functions import scalars as S
-from verdant.session import materialize
 
 COMMON_KEY_PARTS = ["date", "hour", "user_gender", "user_age", "user_region"]
 SEARCH_KEY_PARTS = ["date", "gender", "age", "word"]
@@ -45,9 +44,7 @@ def numeric_columns(df: DataFrame, columns: list[str]) -> dict[str, str]:
 
 def coerce_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Cast every text column that is wholly numeric; others keep text.
-    The input is read twice (type decision, then the cast), so it is
-    materialized once first."""
-    df = materialize(df)
+    Two passes over the input: the type decision (one row), then the cast."""
     columns = columns or [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
     types = numeric_columns(df, columns)
     return df.select(*[F.col(c).try_cast(types[c]).alias(c) if types.get(c, "string") != "string"
@@ -85,9 +82,17 @@ COMMON_COLUMNS = ["event_id", "ts", "key", "member_id", "user_gender", "user_age
                   "user_region", "partition"]
 
 
-def split_by_topic(logs: DataFrame) -> dict[str, DataFrame]:
-    return {t: logs.filter(F.col("topic") == t).select(*COMMON_COLUMNS, *cols)
-            for t, cols in TOPIC_COLUMNS.items()}
+def select_topics(logs: DataFrame) -> DataFrame:
+    """U1 on a source that already holds all topics: the rows that
+    ``union_topics`` gives for one frame per topic, in one pass. A column that
+    a topic does not carry is null in its rows."""
+    carried: dict[str, list[str]] = {}
+    for topic, cols in TOPIC_COLUMNS.items():
+        for c in cols:
+            carried.setdefault(c, []).append(topic)
+    extra = [F.when(F.col("topic").isin(topics), F.col(c)).alias(c) for c, topics in carried.items()]
+    return logs.filter(F.col("topic").isin(list(TOPIC_COLUMNS))) \
+               .select(*COMMON_COLUMNS, *extra, "topic")
 
 
 def day_range(day: str):

@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdant.functions import scalars as S
-from verdant.session import materialize
 
 
 def gap() -> Column:
@@ -49,24 +48,27 @@ def adjacent(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def member_events(logs: DataFrame, time_col: str = "ts", keep: Sequence[str] = ()) -> DataFrame:
-    """Member events (visitors excluded), materialized once: every operator
-    below reads its input more than once. ``keep``: columns carried along."""
-    return materialize(logs.filter(F.col("member_id") != S.VISITOR).select(
-        "member_id", F.col(time_col).alias("ts"), "event_id", "key", *keep))
+    """Member events (visitors excluded). ``keep``: columns carried along."""
+    return logs.filter(F.col("member_id") != S.VISITOR).select(
+        "member_id", F.col(time_col).alias("ts"), "event_id", "key", *keep)
 
 
 BUCKET_SECONDS = {"hour": 3600, "day": 86400}
 
 
-def sessionize(events: DataFrame, bucket_unit: str = "hour") -> DataFrame:
-    """Each event with ``session_start``: a new session begins when more than
-    the gap passed since the member's previous event (exactly the gap stays).
+def sessionize(events: DataFrame, bucket_unit: str = "hour",
+               logout_ends: bool = True) -> DataFrame:
+    """Each event with ``session_start`` and ``first_event_id`` of its session.
+    A new session begins when more than the gap passed since the member's
+    previous event (exactly the gap stays) and, with ``logout_ends``, after
+    every logout; the logout itself closes the session it lies in.
 
     Only a previous event within the gap matters, and with buckets at least
     the gap long it lies in the same bucket or in the last ``gap`` of the
     previous one. Those events are copied into the next bucket as context
     rows, so one (member, bucket) window finds every session start. The
-    running start then crosses bucket edges through the per-bucket table.
+    running start then crosses bucket edges through the per-bucket table. A
+    start is (ts, event_id), since two sessions can begin at one instant.
     """
     if BUCKET_SECONDS.get(bucket_unit, 0) < S.SESSION_GAP_SECONDS:
         raise ValueError("bucket must be at least as long as the session gap")
@@ -79,10 +81,12 @@ def sessionize(events: DataFrame, bucket_unit: str = "hour") -> DataFrame:
     rows = events.select("*", F.explode(buckets).alias("_bucket")) \
                  .withColumn("_ctx", F.col("_bucket") != own)
     w = Window.partitionBy("member_id", "_bucket").orderBy("ts", "event_id")
-    prev_ts = F.lag("ts").over(w)
-    rows = rows.withColumn("_new", prev_ts.isNull() | (F.col("ts") > prev_ts + gap())) \
-               .filter(~F.col("_ctx"))
-    start_if_new = F.when(F.col("_new"), F.col("ts"))
+    prev = F.lag(F.struct("ts", "key")).over(w)
+    new = prev.isNull() | (F.col("ts") > prev["ts"] + gap())
+    if logout_ends:
+        new = new | F.coalesce(prev["key"] == "logout", F.lit(False))
+    rows = rows.withColumn("_new", new).filter(~F.col("_ctx"))
+    start_if_new = F.when(F.col("_new"), F.struct("ts", "event_id"))
     local = F.max(start_if_new).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rows = rows.withColumn("_local", local)
     last_start = rows.groupBy("member_id", "_bucket").agg(F.max(start_if_new).alias("_ls"))
@@ -90,16 +94,18 @@ def sessionize(events: DataFrame, bucket_unit: str = "hour") -> DataFrame:
                .rowsBetween(Window.unboundedPreceding, -1)
     carried = last_start.select("member_id", "_bucket", F.max("_ls").over(bw).alias("_carried"))
     out = rows.join(carried, ["member_id", "_bucket"], "left")
-    return out.withColumn("session_start", F.coalesce("_local", "_carried")) \
+    start = F.coalesce("_local", "_carried")
+    return out.withColumn("session_start", start["ts"]) \
+              .withColumn("first_event_id", start["event_id"]) \
               .drop("_local", "_carried", "_bucket", "_ctx", "_new")
 
 
-def _sessions(logs: DataFrame, time_col: str, bucket_unit: str) -> DataFrame:
-    e = sessionize(member_events(logs, time_col), bucket_unit)
+def _sessions(logs: DataFrame, time_col: str, bucket_unit: str, logout_ends: bool) -> DataFrame:
+    e = sessionize(member_events(logs, time_col), bucket_unit, logout_ends)
     last = F.max(F.struct("ts", "event_id", "key"))
-    s = e.groupBy("member_id", "session_start").agg(
+    s = e.groupBy("member_id", "session_start", "first_event_id").agg(
         last.alias("_last"), F.count(F.lit(1)).alias("n_events"))
-    return s.select("member_id", "session_start",
+    return s.select("member_id", "session_start", "first_event_id",
                     F.col("_last.ts").alias("session_end"),
                     (F.col("_last.ts") + gap()).alias("expires_at"),
                     "n_events",
@@ -107,9 +113,10 @@ def _sessions(logs: DataFrame, time_col: str, bucket_unit: str) -> DataFrame:
                     F.col("_last.event_id").alias("last_event_id"))
 
 
-def session_windows(logs: DataFrame, time_col: str = "ts", bucket_unit: str = "hour") -> DataFrame:
+def session_windows(logs: DataFrame, time_col: str = "ts", bucket_unit: str = "hour",
+                    logout_ends: bool = True) -> DataFrame:
     """One row per session: start, last activity, expiry, events, last key."""
-    return _sessions(logs, time_col, bucket_unit)
+    return _sessions(logs, time_col, bucket_unit, logout_ends).drop("first_event_id")
 
 
 def session_expired(logs: DataFrame, time_col: str = "ts", bucket_unit: str = "hour") -> DataFrame:
@@ -117,8 +124,8 @@ def session_expired(logs: DataFrame, time_col: str = "ts", bucket_unit: str = "h
     logout. ``observed_at`` is when the expiry would be noticed: the start of
     the member's next session (null when none follows), found on the sessions
     table with the bucketed neighbour search."""
-    s = materialize(_sessions(logs, time_col, bucket_unit))
-    s = adjacent(s, ["member_id"], ["session_start"], [], "next", "next",
+    s = _sessions(logs, time_col, bucket_unit, logout_ends=True)
+    s = adjacent(s, ["member_id"], ["session_start", "first_event_id"], [], "next", "next",
                  ts="session_start", bucket_unit=bucket_unit)
     return s.filter(F.col("last_key") != "logout").select(
         "member_id", "session_start", "session_end", "expires_at",

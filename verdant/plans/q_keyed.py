@@ -11,7 +11,6 @@ from verdant.plans.q_segments import CLICK_DAILY_SQL, COMMON_HOURLY_SQL, SEARCH_
 from verdant.plans.registry import register
 from verdant.plans.sql_views import with_views
 from verdant.sources import envelope as env
-from verdant.session import materialize
 from verdant.sources import fixtures as fx
 
 DAY = fx.DASHBOARD_DAY
@@ -88,9 +87,7 @@ def q_redact_fields(spark, d):
     f"SELECT {', '.join(kt.COMMON_COLUMNS + cols)}, '{t}' AS topic FROM logs WHERE topic = '{t}'"
     for t, cols in kt.TOPIC_COLUMNS.items()), "logs"))
 def q_union_topics(spark, d):
-    # One decoded source feeds five topic frames: materialized once, not
-    # recomputed per branch (real topics are separate bus sources).
-    return kt.union_topics(kt.split_by_topic(materialize(fx.logs(spark, d))))
+    return kt.select_topics(fx.logs(spark, d))
 
 
 @register("kv_latest", with_views("""

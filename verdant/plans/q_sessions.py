@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from verdant.functions import scalars as S
+from verdant.operators import keyed as kt
 from verdant.operators import segments as seg
 from verdant.operators import sessions as ss
 from verdant.plans.q_segments import COMMON_HOURLY_SQL
@@ -19,11 +20,12 @@ SESSION_EXTRA = {
     "me": "SELECT member_id, ts, event_id, key FROM logs WHERE member_id <> 'none'",
     "mp": """
   SELECT *, lag(ts) OVER (PARTITION BY member_id ORDER BY ts, event_id) AS prev_ts,
-            lag(event_id) OVER (PARTITION BY member_id ORDER BY ts, event_id) AS prev_id
+            lag(event_id) OVER (PARTITION BY member_id ORDER BY ts, event_id) AS prev_id,
+            lag(key) OVER (PARTITION BY member_id ORDER BY ts, event_id) AS prev_key
   FROM me""",
     "mf": f"""
-  SELECT *, CASE WHEN prev_ts IS NULL OR ts > prev_ts + INTERVAL {GAP} SECOND THEN 1 ELSE 0 END
-    AS new FROM mp""",
+  SELECT *, CASE WHEN prev_ts IS NULL OR ts > prev_ts + INTERVAL {GAP} SECOND
+                 OR prev_key = 'logout' THEN 1 ELSE 0 END AS new FROM mp""",
     "msid": """
   SELECT *, sum(new) OVER (PARTITION BY member_id ORDER BY ts, event_id
                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM mf""",
@@ -52,6 +54,9 @@ def q_session_expired(spark, d):
     return ss.session_expired(fx.logs(spark, d, parts=False))
 
 
+# Event types that hold log-ins and log-outs (FIXTURES.md).
+INOUT_TYPES = ("signup", "error")
+
 DWELL_BODY = """
 SELECT member_id, event_id, login_ts, logout_ts,
   date_diff('microsecond', login_ts, logout_ts) / 1e6 AS dwell_seconds
@@ -65,7 +70,7 @@ WHERE key = 'login'"""
 
 @register("dwell_time", with_views(DWELL_BODY, "logs"))
 def q_dwell_time(spark, d):
-    return ss.dwell_time(fx.logs(spark, d, parts=False))
+    return ss.dwell_time(fx.logs(spark, d, parts=False, types=INOUT_TYPES))
 
 
 METRICS_SQL = ", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in seg.METRIC_NAMES)
@@ -86,6 +91,10 @@ ON d.date = w.date AND d.user_age IS NOT DISTINCT FROM w.user_age
   AND d.user_region IS NOT DISTINCT FROM w.user_region AND d.user_gender IS NOT DISTINCT FROM w.user_gender""", "logs", extra={"hourly": COMMON_HOURLY_SQL,
                                                       "dwell": DWELL_BODY}))
 def q_warm_week(spark, d):
-    logs = fx.logs(spark, d, parts=False)
-    out = ss.warm_week(seg.common_hourly(logs), ss.dwell_time(logs, keep=ss.SEGMENT_COLUMNS), DAY)
+    # Only later logouts matter to a login, so the lower bound is exact for dwell.
+    day_start, day_end = kt.day_range(DAY)
+    week_start = day_start - F.make_dt_interval(days=F.lit(6))
+    week = fx.logs(spark, d, parts=False).filter((F.col("ts") >= week_start) & (F.col("ts") < day_end))
+    inout = fx.logs(spark, d, parts=False, types=INOUT_TYPES).filter(F.col("ts") >= week_start)
+    out = ss.warm_week(seg.common_hourly(week), ss.dwell_time(inout, keep=ss.SEGMENT_COLUMNS), DAY)
     return out.withColumn("avg_dwell_seconds", F.round("avg_dwell_seconds", 3))

@@ -52,38 +52,76 @@ class KeyedTable:
     """A keyed aggregate table fed by streaming micro-batches.
 
     Plain files have no merge, so each micro-batch is written under
-    ``date=<day>/batch_id=<n>`` with dynamic partition overwrite: replaying a
-    batch id replaces exactly its own folders, which makes the sink
-    idempotent. Readers take the row of the highest batch id per key
-    (update mode emits the whole current value of every changed group, so the
-    latest batch is the answer). ``compact`` rewrites a table to one row per
-    key.
+    ``date=<day>/generation=<g>/batch_id=<n>`` with dynamic partition
+    overwrite: replaying a batch replaces exactly its own folders, which makes
+    the sink idempotent. A generation belongs to one writer (one streaming
+    checkpoint); a writer unseen so far gets the next one, because it counts
+    its batches from 0 again. Generations are recorded, one row per writer, in
+    ``_writers`` beside the data. Readers take the row of the highest
+    (generation, batch) per key (update mode emits the whole current value of
+    every changed group, so the latest batch is the answer). ``compact``
+    rewrites a table to one row per key. One writer at a time.
     """
 
+    VERSION = ["generation", "batch_id"]
+
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
                  partition_col: str = "date"):
         self.spark, self.path = spark, path
         self.keys, self.partition_col = list(keys), partition_col
-
-    def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy(self.partition_col, "batch_id").parquet(self.path))
+        self._generations: dict[str, int] = {}
+
+    def _writers(self) -> DataFrame:
+        schema = "writer string, generation bigint"
+        folder = f"{self.path}/_writers"
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if not hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(folder)
+
+    def generation(self, writer: str) -> int:
+        """The writer's generation; the next free one is recorded for a new writer."""
+        if writer not in self._generations:
+            known = self._writers().agg(
+                F.max(F.when(F.col("writer") == writer, F.col("generation"))).alias("own"),
+                F.max("generation").alias("last")).first()
+            g = known.own
+            if g is None:
+                g = 0 if known.last is None else known.last + 1
+                (self.spark.createDataFrame([(writer, g)], "writer string, generation bigint")
+                     .coalesce(1).write.mode("append").parquet(f"{self.path}/_writers"))
+            self._generations[writer] = g
+        return self._generations[writer]
+
+    def _write(self, rows: DataFrame, path: str) -> None:
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(self.partition_col, *self.VERSION).parquet(path))
+
+    def upsert(self, batch: DataFrame, batch_id: int, writer: str | None = None) -> None:
+        """Write one batch of ``writer`` (rows written by hand share one writer)."""
+        g = self.generation(writer or "direct")
+        self._write(batch.withColumn("generation", F.lit(g).cast("bigint"))
+                         .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")), self.path)
 
     def raw(self) -> DataFrame:
         # Partition values come back type-inferred; the day key is text.
         df = self.spark.read.parquet(self.path)
         return df.withColumn(self.partition_col, F.col(self.partition_col).cast("string")) \
-                 .withColumn("batch_id", F.col("batch_id").cast("bigint"))
+                 .withColumns({c: F.col(c).cast("bigint") for c in self.VERSION})
+
+    def _latest(self, df: DataFrame) -> DataFrame:
+        values = [c for c in df.columns if c not in self.keys + self.VERSION]
+        return latest_by_key(df, self.keys, self.VERSION, values)
 
     def read(self, day: str | None = None) -> DataFrame:
         df = self.raw()
         if day is not None:
             df = df.filter(F.col(self.partition_col) == day)   # partition pruning
-        values = [c for c in df.columns if c not in self.keys + ["batch_id"]]
-        return latest_by_key(df, self.keys, ["batch_id"], values).drop("batch_id")
+        return self._latest(df).drop(*self.VERSION)
 
     def compact(self, target: str) -> None:
-        """Write the latest row per key to ``target`` (a new table folder)."""
-        latest = self.read().withColumn("batch_id", F.lit(0).cast("bigint"))
-        latest.write.mode("overwrite").partitionBy(self.partition_col, "batch_id").parquet(target)
+        """Write the latest row per key to ``target`` (a new table folder).
+        Rows keep their version and the writers their generations, so streams
+        go on with the compacted table."""
+        self._write(self._latest(self.raw()), target)
+        self._writers().coalesce(1).write.mode("overwrite").parquet(f"{target}/_writers")

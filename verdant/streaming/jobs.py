@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -87,6 +87,8 @@ def session_stream(records: DataFrame, watermark: str = "10 minutes",
                    time_col: str = "event") -> DataFrame:
     """W9 as a stream: inactivity sessions per member with ``session_window``
     (append mode: a session is emitted once the watermark passes its expiry).
+    Windows close by inactivity alone; the cut after a logout is made by the
+    batch form (``session_windows(..., logout_ends=True)``).
     Events exactly one gap apart stay in one session, as in the batch form;
     ``session_end`` is the last activity (window end minus the gap)."""
     logs = decoded_logs(records, time_col)
@@ -98,31 +100,20 @@ def session_stream(records: DataFrame, watermark: str = "10 minutes",
                       F.col("w.end").alias("expires_at"), "n_events")
 
 
-def late_rows(rows: DataFrame, event_col: str, batch_col: str, delay_seconds: int,
-              window: str | None = None) -> DataFrame:
-    """W4 side output: the rows a watermark of ``delay_seconds`` drops, given
-    the micro-batch each row arrived in. The watermark of batch b is the
-    largest event time of the batches before b minus the delay (one row per
-    batch, a running max over a tiny table). With ``window``, a row is late
-    when its window has ended by then (windowed aggregation); otherwise when
-    its event time is older."""
-    per_batch = rows.groupBy(batch_col).agg(F.max(event_col).alias("_max"))
-    w = Window.orderBy(batch_col).rowsBetween(Window.unboundedPreceding, -1)
-    marks = per_batch.select(batch_col, (F.max("_max").over(w) -
-                             F.make_dt_interval(secs=F.lit(delay_seconds))).alias("_wm"))
-    j = rows.join(marks, batch_col)
-    t = F.window(event_col, window).end if window else F.col(event_col)
-    return j.filter(F.col("_wm").isNotNull() & (t <= F.col("_wm")) if window
-                    else F.col("_wm").isNotNull() & (t < F.col("_wm"))).drop("_wm")
-
-
 def start_keyed_upsert(agg: DataFrame, table: KeyedTable, name: str,
                        trigger: dict | None = None,
                        checkpoint: str | None = None) -> StreamingQuery:
-    """W5-W8 + S10/S11: update-mode stream into a keyed table."""
+    """W5-W8 + S10/S11: update-mode stream into a keyed table. The query's id
+    lives in its checkpoint, so it names the writer: a restart goes on with
+    the same generation, a new checkpoint opens the next one."""
     spark = agg.sparkSession
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        writer = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        table.upsert(df, batch_id, writer)
+
     writer = (agg.writeStream.outputMode("update").queryName(name)
-              .foreachBatch(lambda df, batch_id: table.upsert(df, batch_id))
+              .foreachBatch(write)
               .option("checkpointLocation", checkpoint or stream_checkpoint(spark, name)))
     writer = writer.trigger(**(trigger or {"processingTime": "5 minutes"}))
     return writer.start()
@@ -138,7 +129,6 @@ QUOTA_OUT = T.StructType([
     T.StructField("verdict", T.StringType()),
 ])
 QUOTA_STATE = T.StructType([
-    T.StructField("day", T.StringType()),       # calendar day of the cached count
     T.StructField("count", T.IntegerType()),    # accepted uploads that day
     T.StructField("pic", T.LongType()),         # capture time of the last accepted, micros
 ])
@@ -146,47 +136,42 @@ STATE_TTL_MS = 86400 * 1000   # the cache entry lives one day after its last wri
 
 
 def _quota(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One member and service: replay the reference's cache rule row by row in
+    """One member, service and day: replay the daily rule row by row in
     event-time order within the micro-batch. Rows of the stream arrive in
     event-time order per member, as the requests did."""
     if state.hasTimedOut:
         state.remove()
         return
-    day, count, last_pic = state.get if state.exists else (None, 0, None)
+    count, last_pic = state.get if state.exists else (0, None)
     out = []
     pdf = pd.concat(list(frames), ignore_index=True).sort_values(["ts", "event_id"])
     for r in pdf.itertuples(index=False):
-        cap = S.DAILY_CAP[int(r.service)]
-        r_day = str(r.day)
         r_pic = None if pd.isna(r.pic_time) else int(pd.Timestamp(r.pic_time).value // 1000)
-        same_day = day == r_day
         verdict = None if pd.isna(r.pre_code) else r.pre_code
-        if verdict is None and same_day:
+        if verdict is None:
             if int(r.service) == 1 and count == 1 and last_pic == r_pic:
                 verdict = "ImgDuplicated"
-            elif count >= cap:
+            elif count >= S.DAILY_CAP[int(r.service)]:
                 verdict = "OverCount"
         if verdict is None and not pd.isna(r.post_code):
             verdict = r.post_code
         if verdict is None:
-            verdict = pt.ACCEPTED
-            count = count + 1 if same_day else 1
-            day, last_pic = r_day, r_pic
+            verdict, count, last_pic = pt.ACCEPTED, count + 1, r_pic
         out.append((int(r.event_id), int(r.member_id), int(r.service), verdict))
-    if day is not None:
-        state.update((day, count, last_pic))
-        last_ms = int(pd.Timestamp(pdf["ts"].max()).value // 10**6)
-        state.setTimeoutTimestamp(max(last_ms + STATE_TTL_MS, state.getCurrentWatermarkMs() + 1))
+    state.update((count, last_pic))
+    last_ms = int(pd.Timestamp(pdf["ts"].max()).value // 10**6)
+    state.setTimeoutTimestamp(max(last_ms + STATE_TTL_MS, state.getCurrentWatermarkMs() + 1))
     yield pd.DataFrame(out, columns=["event_id", "member_id", "service", "verdict"])
 
 
 def quota_stream(uploads: DataFrame, watermark: str = "1 hour") -> DataFrame:
     """Upload verdicts of a stream of service-1 uploads (R1 with W11 state).
     The stateless codes are plain columns; only the per-member history runs
-    in Python, one small state row per (member, service), dropped by an
-    event-time timeout one day after its last write."""
+    in Python, one small state row per (member, service, day), so a busy
+    member's days lie in different groups; an event-time timeout drops it one
+    day after its last write."""
     coded = uploads.withWatermark("ts", watermark).select(
         "event_id", "member_id", "service", "ts", "day", "pic_time",
         pt.upload_pre().alias("pre_code"), pt.upload_post().alias("post_code"))
-    return coded.groupBy("member_id", "service").applyInPandasWithState(
+    return coded.groupBy("member_id", "service", "day").applyInPandasWithState(
         _quota, QUOTA_OUT, QUOTA_STATE, "append", GroupStateTimeout.EventTimeTimeout)
