@@ -43,9 +43,9 @@ def upload_post() -> Column:
             .when(F.col("label_n") >= 1, "ModelYesLabel"))
 
 
-def receipt_post(keywords=S.RECEIPT_KEYWORDS) -> Column:
+def receipt_post(matched: Column) -> Column:
     return (F.when(~F.col("model_ok"), "ModelError")
-            .when(~F.coalesce(S.contains_any("ocr_text", keywords), F.lit(False)), "OcrNoDetect"))
+            .when(~F.coalesce(matched, F.lit(False)), "OcrNoDetect"))
 
 
 def first_per_photo(cands: DataFrame, dedupe: str | None) -> DataFrame:
@@ -98,8 +98,11 @@ def upload_verdict(uploads: DataFrame, cap: int = S.DAILY_CAP[1],
 
 def receipt_verdict(receipts: DataFrame, keywords=S.RECEIPT_KEYWORDS,
                     cap: int = S.DAILY_CAP[2], points_method: str = "mod") -> DataFrame:
-    """OverCount, ModelError, OcrNoDetect, else accepted with P32 points."""
-    v = apply_quota(receipts, None, receipt_post(keywords), cap, None)
+    """OverCount, ModelError, OcrNoDetect, else accepted with P32 points.
+    Receipts carry ``ocr_text``, or ``matched`` when their texts are tested already."""
+    matched = F.col("matched") if "matched" in receipts.columns \
+        else S.contains_any("ocr_text", keywords)
+    v = apply_quota(receipts, None, receipt_post(matched), cap, None)
     points = F.when(F.col("verdict") == ACCEPTED,
                     S.receipt_points("event_id", points_method)).otherwise(0)
     return v.select("event_id", "member_id", "day", "service", "verdict",

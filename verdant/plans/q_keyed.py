@@ -33,6 +33,23 @@ def q_encode_envelope(spark, d):
     return env.encode_envelope(fx.logs(spark, d), keep=("event_id",))
 
 
+# The producers write epoch time + 9 h.
+@register("wall_time", with_views("""
+SELECT event_id, strftime(ts + INTERVAL 9 HOUR, '%Y-%m-%dT%H:%M:%S.%gZ') AS wall_time
+FROM logs""", "logs"))
+def q_wall_time(spark, d):
+    encoded = env.encode_envelope(fx.logs(spark, d), offset_hours=9, keep=("event_id",))
+    return encoded.select("event_id", F.get_json_object("value", "$.timestamp").alias("wall_time"))
+
+
+@register("simple_values", with_views("""
+SELECT event_id, CAST(day AS VARCHAR) AS day, CAST(pic_time AS VARCHAR) AS pic_time,
+  size_bytes, model_ok FROM uploads""", "uploads"))
+def q_simple_values(spark, d):
+    return env.simple_values(fx.uploads(spark, d).select("event_id", "day", "pic_time",
+                                                         "size_bytes", "model_ok"))
+
+
 def _json(path: str) -> str:
     return f"json_extract_string(value, '$.{path}')"
 

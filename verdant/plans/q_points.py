@@ -92,7 +92,7 @@ RECEIPT_OUT = """SELECT event_id, member_id, day, service, verdict,
 
 @register("receipt_verdict", with_views(RECEIPT_OUT, "receipts", extra=RECEIPT_EXTRA))
 def q_receipt_verdict(spark, d):
-    return pt.receipt_verdict(fx.receipts(spark, d), KW)
+    return pt.receipt_verdict(fx.receipts(spark, d, keywords=KW), KW)
 
 
 @register("fail_codes", with_views("""
@@ -101,7 +101,7 @@ SELECT service, verdict, count(*) AS n FROM (
 GROUP BY 1, 2""", "uploads", "receipts", extra={**UPLOAD_EXTRA, **RECEIPT_EXTRA}))
 def q_fail_codes(spark, d):
     v1 = pt.upload_verdict(fx.uploads(spark, d))
-    v2 = pt.receipt_verdict(fx.receipts(spark, d), KW)
+    v2 = pt.receipt_verdict(fx.receipts(spark, d, keywords=KW), KW)
     return pt.fail_codes(v1.unionByName(v2))
 
 
@@ -123,15 +123,14 @@ def q_daily_cap(spark, d):
 @register("receipt_keyword", with_views(f"""
 SELECT event_id, {_kw_sql('ocr_text')} AS matched FROM receipts""", "receipts"))
 def q_receipt_keyword(spark, d):
-    return fx.receipts(spark, d).select("event_id",
-                                        S.contains_any("ocr_text", KW).alias("matched"))
+    return fx.receipts(spark, d, keywords=KW).select("event_id", "matched")
 
 
 @register("receipt_points", with_views("""
 SELECT event_id, CAST(10 * (1 + event_id % 5) AS INTEGER) AS points FROM receipts""",
                                        "receipts"))
 def q_receipt_points(spark, d):
-    return fx.receipts(spark, d).select("event_id", S.receipt_points("event_id").alias("points"))
+    return fx.receipts(spark, d, documents=False).select("event_id", S.receipt_points("event_id").alias("points"))
 
 
 @register("photo_points", with_views("""

@@ -71,7 +71,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "receipts": (("ev",), """
   SELECT e.event_id, e.user_id % 10 AS member_id, 2 AS service, e.ts, CAST(e.ts AS DATE) AS day,
     d.text AS ocr_text, e.k % 22 <> 1 AS model_ok
-  FROM ev e LEFT JOIN documents d ON e.k = d.doc_id
+  FROM ev e LEFT JOIN documents d ON e.event_id // 10 = d.doc_id
   WHERE e.event_type = 'purchase' AND e.k % 2 = 1"""),
     "results": (("uploads",), """
   SELECT member_id, pic_time, min(event_id) AS result_id

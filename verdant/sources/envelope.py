@@ -161,6 +161,18 @@ def payload_fields(df: DataFrame, payload: str, keep: tuple[str, ...] = (),
     return long.filter(~F.col("field").isin(list(dict.fromkeys(skip))))
 
 
+SIMPLE_TYPES = (T.StringType, T.BooleanType, T.IntegralType, T.FloatType, T.DoubleType,
+                T.NullType, T.ArrayType, T.MapType, T.StructType)
+
+
+def simple_values(df: DataFrame) -> DataFrame:
+    """P25: payload columns as a JSON record can hold them. Texts, truth values,
+    numbers, lists, maps and records stay; every other type (dates, times,
+    decimals, bytes) becomes its text, null stays null."""
+    return df.select(*[F.col(f.name) if isinstance(f.dataType, SIMPLE_TYPES)
+                       else F.col(f.name).cast("string").alias(f.name) for f in df.schema.fields])
+
+
 def click_payload(df: DataFrame) -> DataFrame:
     """Each row as one JSON text column ``value`` (nulls written as null)."""
     return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
