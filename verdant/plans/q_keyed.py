@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from verdant.functions import scalars as S
@@ -11,7 +13,9 @@ from verdant.plans.q_segments import CLICK_DAILY_SQL, COMMON_HOURLY_SQL, SEARCH_
 from verdant.plans.registry import register
 from verdant.plans.sql_views import with_views
 from verdant.sources import envelope as env
+from verdant.session import checkpoint_dir
 from verdant.sources import fixtures as fx
+from verdant.sources.sinks import KeyedTable
 
 DAY = fx.DASHBOARD_DAY
 
@@ -168,19 +172,22 @@ def q_coerce_numeric(spark, d):
     return kt.coerce_numeric(_split(spark, d))
 
 
-def _day_logs(spark, d, **asked):
-    start, end = kt.day_range(DAY)
-    logs = fx.logs(spark, d, **asked)
-    return logs.filter((F.col("ts") >= start) & (F.col("ts") < end))
+def _stored(spark, rows, name: str, keys: list[str]) -> KeyedTable:
+    """``rows`` as a stored keyed table of their own in the shared folder."""
+    stored = KeyedTable(spark, f"{checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex}", keys)
+    stored.upsert(rows, 0)
+    return stored
 
 
 @register("scan_common_day", with_views(f"SELECT * FROM hourly WHERE date = '{DAY}'", "logs",
                                         extra={"hourly": COMMON_HOURLY_SQL}))
 def q_scan_common_day(spark, d):
-    return kt.scan_day(seg.common_hourly(_day_logs(spark, d, parts=False)), DAY)
+    hourly = seg.common_hourly(fx.logs(spark, d, parts=False))
+    return _stored(spark, hourly, "common", kt.COMMON_KEY_PARTS).read(DAY)
 
 
 @register("scan_search_day", with_views(f"SELECT * FROM search WHERE date = '{DAY}'", "logs",
                                         extra={"search": SEARCH_DAILY_SQL}))
 def q_scan_search_day(spark, d):
-    return kt.scan_day(seg.search_daily(_day_logs(spark, d, types=("view",))), DAY)
+    search = seg.search_daily(fx.logs(spark, d, types=("view",)))
+    return _stored(spark, search, "search", kt.SEARCH_KEY_PARTS).read(DAY)

@@ -94,7 +94,9 @@ class KeyedTable:
         return self._generations[writer]
 
     def _write(self, rows: DataFrame, path: str) -> None:
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # Few files a day; a large day is still split over several tasks.
+        (rows.hint("rebalance", self.partition_col)
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(self.partition_col, *self.VERSION).parquet(path))
 
     def upsert(self, batch: DataFrame, batch_id: int, writer: str | None = None) -> None:
