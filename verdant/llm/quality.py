@@ -7,9 +7,11 @@ text it resembles. Logistic regression on labelled documents that are in
 neither dictionary turns the differences into a calibrated score.
 
 The model is fitted on a bounded sample of the labelled rows: at most
-``DICT_DOCS`` documents of a class for its dictionary and ``FIT_DOCS`` for
-the calibration, each with at most ``SAMPLE_CHARS`` characters from a place
-chosen by its hash. Scoring reads every byte of every text.
+``DICT_DOCS`` documents of a class for its dictionary, each with at most
+``SAMPLE_CHARS`` characters from a place chosen by its hash, and ``FIT_DOCS``
+for the calibration. Calibration and scoring alike read every byte of a
+text, and what they measure is a mean over its windows, so that a text isn't
+judged by its length.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 DICT_DOCS = 2_000       # labelled documents of a class behind its dictionary
 FIT_DOCS = 4_000        # labelled documents behind the calibration
-SAMPLE_CHARS = 4_096    # characters taken from one of those
+SAMPLE_CHARS = 4_096    # characters a document gives to a dictionary
 DICT_BYTES = 112_640    # size of a dictionary
 WINDOW = 1_024          # bytes compressed at a time
 LEVEL = 3
@@ -45,27 +47,29 @@ class CompressionModel:
                      for d in (self.good, self.bad))
 
 
-def features(text: str | None, good, bad) -> tuple[float, float, float, float]:
-    """(difference over the whole text, worst window's, size of the densest
-    window against its length, 1 if there is any text).
+def features(text: str | None, good, bad) -> tuple[float, float, float, float, float]:
+    """Means over a text's windows: (difference, its part below 0, logarithm of
+    the smaller size against the length, that squared), and 1 if there is any text.
 
     A difference is (bad size - good size) / (bad size + good size). The third
-    value tells repetition, which both dictionaries compress alike."""
+    value tells repetition, which both dictionaries compress alike. A mean is
+    the same for a text and for the text many times over, unlike a minimum."""
     data = (text or "").encode("utf-8", "surrogatepass")
     if not data:
-        return 0.0, 0.0, 0.0, 0.0
+        return 0.0, 0.0, 0.0, 0.0, 0.0
     count = max(1, round(len(data) / WINDOW))
     step = math.ceil(len(data) / count)
-    total_good = total_bad = 0
-    worst = densest = 1.0
+    total = below = density = square = 0.0
     for at in range(0, len(data), step):
         piece = data[at:at + step]
         g, b = len(good(piece)), len(bad(piece))
-        total_good += g
-        total_bad += b
-        worst = min(worst, (b - g) / (b + g))
-        densest = min(densest, min(g, b) / len(piece))
-    return (total_bad - total_good) / (total_bad + total_good), worst, densest, 1.0
+        difference, dense = (b - g) / (b + g), math.log(min(g, b, len(piece)) / len(piece))
+        share = len(piece) / len(data)
+        total += share * difference
+        below += share * min(difference, 0.0)
+        density += share * dense
+        square += share * dense ** 2
+    return total, below, density, square, 1.0
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
@@ -81,10 +85,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 5
 
 
 def _design(f: np.ndarray) -> np.ndarray:
-    """Intercept, the three measures, and whether there is text. Differences
-    count in hundredths; density by its logarithm, linear and squared."""
-    dense = np.log(np.maximum(f[:, 2], 1e-3)) * f[:, 3]
-    return np.column_stack([np.ones(len(f)), f[:, 0] * 100, f[:, 1] * 100, dense, dense ** 2, f[:, 3]])
+    """Intercept, the four measures, and whether there is text. Differences count in hundredths."""
+    return np.column_stack([np.ones(len(f)), f * (100, 100, 1, 1, 1)])
 
 
 def fold(doc_id: Column) -> Column:
@@ -103,26 +105,41 @@ def fit(docs: DataFrame, labels: DataFrame) -> CompressionModel:
     marks = marks.filter(fold(F.col("doc_id")) != 1).withColumn("_at", F.xxhash64(F.col("doc_id"), F.lit(7)))
     in_dictionary = F.pmod(F.col("_at"), F.lit(2)) == 0
     chosen = [marks.filter(in_dictionary & (F.col("_quality") == k)).orderBy("_at", "doc_id").limit(DICT_DOCS) for k in (1, 0)]
-    chosen = chosen[0].unionByName(chosen[1]).unionByName(marks.filter(~in_dictionary).orderBy("_at", "doc_id").limit(FIT_DOCS))
-    # At most 2 * DICT_DOCS + FIT_DOCS ids, so texts stay where they are.
+    # At most 2 * DICT_DOCS and FIT_DOCS ids, so texts stay where they are.
+    texts = docs.select("doc_id", "text").filter(F.length("text") > 0)
     start = F.pmod(F.col("_at"), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1))).cast("int") + 1
-    rows = docs.select("doc_id", "text").filter(F.length("text") > 0).join(F.broadcast(chosen), "doc_id") \
+    rows = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id") \
         .select("_at", "_quality", F.col("text").substr(start, F.lit(SAMPLE_CHARS)).alias("piece")) \
         .groupBy("_at", "_quality").agg(F.min("piece").alias("piece")).collect()
     rows.sort(key=lambda r: (r["_at"], r.piece))
-    parts = {k: [r.piece.encode() for r in rows if r["_at"] % 2 == 0 and r["_quality"] == k] for k in (1, 0)}
+    parts = {k: [r.piece.encode() for r in rows if r["_quality"] == k] for k in (1, 0)}
     dictionary = {k: _dictionary(v) for k, v in parts.items()}
     model = CompressionModel(dictionary[1], dictionary[0], ())
-    sample = [r for r in rows if r["_at"] % 2]
+    sample = _measured(texts.join(F.broadcast(marks.filter(~in_dictionary).orderBy("_at", "doc_id").limit(FIT_DOCS)), "doc_id"), model)
     y = np.array([float(r["_quality"] == 1) for r in sample])
     if not len(y) or not parts[0] or not parts[1] or y.min() == y.max():
         share = min(max(y.mean() if len(y) else 0.5, 1e-3), 1 - 1e-3)
         return CompressionModel(model.good, model.bad, (math.log(share / (1 - share)), *[0.0] * 5))
-    pair = model.compressors()
-    x = _design(np.array([features(r.piece, *pair) for r in sample]))
+    x = _design(np.array([tuple(r.f) for r in sample]))
     return CompressionModel(model.good, model.bad, tuple(_logistic(x, y).tolist()))
 
 
+def _measured(rows: DataFrame, model: CompressionModel) -> list:
+    """(_at, _quality, f) of the labelled rows: the features of whole texts, taken in tasks."""
+    names = ["f0", "f1", "f2", "f3", "f4"]
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair = model.compressors()
+        for batch in batches:
+            f = np.array([features(t, *pair) for t in batch.column("text").to_pylist()]).reshape(-1, 5)
+            yield pa.RecordBatch.from_arrays([batch.column("_at"), batch.column("_quality"), *map(pa.array, f.T.copy())],
+                                             names=["_at", "_quality", *names])
+
+    schema = "_at bigint, _quality bigint, " + ", ".join(f"{n} double" for n in names)
+    found = rows.select("_at", F.col("_quality").cast("bigint").alias("_quality"), "text").mapInArrow(measure, schema)
+    return sorted(found.groupBy("_at", "_quality").agg(F.min(F.struct(*names)).alias("f")).collect(), key=lambda r: r["_at"])
+
+
 def _dictionary(samples: list[bytes]) -> bytes:
     """A trained dictionary; with too few samples to train on, their bytes as they are."""
     try:
@@ -137,7 +154,7 @@ def _scorer(model: CompressionModel):
     pair, w = model.compressors(), np.array(model.weights)
 
     def scores(texts: list[str | None]) -> np.ndarray:
-        f = np.array([features(t, *pair) for t in texts]).reshape(-1, 4)
+        f = np.array([features(t, *pair) for t in texts]).reshape(-1, 5)
         return 1 / (1 + np.exp(-np.clip(_design(f) @ w, -30, 30)))
 
     return scores
