@@ -15,7 +15,6 @@ from verdant.plans.sql_views import with_views
 from verdant.sources import envelope as env
 from verdant.session import checkpoint_dir
 from verdant.sources import fixtures as fx
-from verdant.sources.sinks import KeyedTable
 
 DAY = fx.DASHBOARD_DAY
 
@@ -172,22 +171,22 @@ def q_coerce_numeric(spark, d):
     return kt.coerce_numeric(_split(spark, d))
 
 
-def _stored(spark, rows, name: str, keys: list[str]) -> KeyedTable:
-    """``rows`` as a stored keyed table of their own in the shared folder."""
-    stored = KeyedTable(spark, f"{checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex}", keys)
-    stored.upsert(rows, 0)
-    return stored
+def _stored(spark, rows, name: str):
+    """``rows`` as a stored table of their own in the shared folder, one folder per day."""
+    path = f"{checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    rows.hint("rebalance", "date").write.partitionBy("date").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)   # the day key stays text
 
 
 @register("scan_common_day", with_views(f"SELECT * FROM hourly WHERE date = '{DAY}'", "logs",
                                         extra={"hourly": COMMON_HOURLY_SQL}))
 def q_scan_common_day(spark, d):
     hourly = seg.common_hourly(fx.logs(spark, d, parts=False))
-    return _stored(spark, hourly, "common", kt.COMMON_KEY_PARTS).read(DAY)
+    return _stored(spark, hourly, "common").filter(F.col("date") == DAY)
 
 
 @register("scan_search_day", with_views(f"SELECT * FROM search WHERE date = '{DAY}'", "logs",
                                         extra={"search": SEARCH_DAILY_SQL}))
 def q_scan_search_day(spark, d):
     search = seg.search_daily(fx.logs(spark, d, types=("view",)))
-    return _stored(spark, search, "search", kt.SEARCH_KEY_PARTS).read(DAY)
+    return _stored(spark, search, "search").filter(F.col("date") == DAY)
