@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from verdant.llm import cuckoo, licenses, mixing, ngram_join, packing, quality, suffix_dedup, url_rules, vector_files, warc
+from verdant.llm import (cuckoo, fill_middle, language_id, licenses, mixing, ngram_join, packing, periodic_runs, quality,
+                         suffix_dedup, url_rules, vector_files, warc)
 from verdant.sources.tables import table
 
 #: The vocabulary that the packing query reads.
@@ -24,6 +25,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": lambda s, d: cuckoo.op8_exact_dedup(table(s, d, "documents")),
     "op9_top_k": lambda s, d: vector_files.op9_top_k(table(s, d, "embeddings")),
     "op10_mix_sources": lambda s, d: mixing.op10_mix_sources(table(s, d, "documents")),
+    "op11_periodic_runs": lambda s, d: periodic_runs.op11_periodic_runs(table(s, d, "documents")),
+    "op12_language_id": lambda s, d: language_id.op12_language_id(table(s, d, "documents")),
+    "op13_fill_middle": lambda s, d: fill_middle.op13_fill_middle(table(s, d, "documents")),
 }
 
 LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -39,4 +43,5 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM r WINDOW w AS (PARTITION BY text_sha256)""",
     "op9_top_k": vector_files.ORACLE,
     "op10_mix_sources": mixing.ORACLE,
+    "op13_fill_middle": fill_middle.ORACLE,
 }
