@@ -114,6 +114,9 @@ def test_odd_rows(spark):
     rows = [(None, "the weather", "en"), (1, None, "en"), (2, "", "de"), (3, " 12 ²½ ... ", "de"), (4, "the weather", "en"),
             (4, "the weather", "en"), (5, "das wetter " * 200_000, "de"), (6, "das wetter", "de"), (7, "x", None),
             (8, "the rain and the sun", "en"), (9, "der regen und die sonne", "de"), (11, "w" * 3000, "en")]
+    # Ids outside fold 0, so both languages are learnt.
+    rows += [(i, "das wetter ist schön", "de") for i in (21, 22, 23)] + [(i, "the weather is fine", "en") for i in (31, 32, 33)]
+    assert any(zlib.crc32(str(i).encode()) % 5 for i in (21, 22, 23)) and any(zlib.crc32(str(i).encode()) % 5 for i in (31, 32, 33))
     docs = spark.createDataFrame([(*r, 1, "s") for r in rows], SCHEMA + ", score int, lang_pred string")
     got = li.op12_language_id(docs).collect()
     assert sorted(str(r.doc_id) for r in got) == sorted(str(r[0]) for r in rows)
