@@ -32,6 +32,7 @@ tasks.
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -46,6 +47,7 @@ from verdant.llm.common import batches_of, result, rows_of, scratch, written
 MIN_LENGTH = 12         # words of the shortest run
 CORE_STEPS = 16         # boundaries in the core of a tile, at least
 CORE_WORDS = 512        # words in the core of a tile, at least
+TASK_WORK = 1 << 20     # words between boundaries that a task solves
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -274,7 +276,9 @@ def fragments(split: DataFrame) -> DataFrame:
         yield from batches_of(out(), FRAGMENT_SCHEMA)
 
     tiles = split.filter(F.col("octave").isNotNull()).select("row", "octave", "tile", "ids", "boundaries")
-    return tiles.repartition("row", "octave", "tile").mapInArrow(run, FRAGMENT_DDL)
+    # Tiles are few bytes and much work, so tasks are counted by work, not by size.
+    work = tiles.agg(F.sum(F.col("octave") * (F.octet_length("boundaries") / 4))).first()[0] or 0
+    return tiles.repartition(max(1, math.ceil(work / TASK_WORK)), "row", "octave", "tile").mapInArrow(run, FRAGMENT_DDL)
 
 
 def stitched(found: DataFrame) -> DataFrame:
