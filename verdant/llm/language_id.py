@@ -104,16 +104,15 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def gram_counts(words: DataFrame, max_gram: int = MAX_GRAM) -> DataFrame:
-    """(lang, length, item, n) of the n-grams of counted words, as ``grams`` cuts them."""
-    def cut(length: int) -> Column:
-        edged = F.col("item") if length == 1 else F.concat(F.lit(EDGE), "item", F.lit(EDGE))
-        last = F.length(edged) - length + 1
-        return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda at: F.struct(
-            F.lit(length).alias("length"), F.substring(edged, at, F.lit(length)).alias("item"))))
-
-    every = F.flatten(F.array_compact(F.array(*[cut(k) for k in range(1, max_gram + 1)])))
-    return words.select("lang", "n", F.explode(every).alias("g")) \
-        .groupBy("lang", F.col("g.length").alias("length"), F.col("g.item").alias("item")).agg(F.sum("n").alias("n"))
+    """(lang, length, item, n) of the n-grams of counted words, as ``grams``
+    cuts them. The longest ones, shortened at a word's end, are counted first;
+    the shorter ones begin those, so they are cut from a small table."""
+    edged = F.concat(F.lit(EDGE), "item", F.lit(EDGE))
+    every = F.transform(F.sequence(F.lit(1), F.length("item") + 2), lambda at: F.substring(edged, at, F.lit(max_gram)))
+    longest = words.select("lang", "n", F.explode(every).alias("item")).groupBy("lang", "item").agg(F.sum("n").alias("n"))
+    cut = longest.select("lang", "item", "n", F.explode(F.sequence(F.lit(1), F.length("item"))).alias("length"))
+    cut = cut.select("lang", "length", F.substring("item", F.lit(1), F.col("length")).alias("item"), "n")
+    return cut.filter(F.col("item") != EDGE).groupBy("lang", "length", "item").agg(F.sum("n").alias("n"))
 
 
 # ---------------------------------------------------------------------------
