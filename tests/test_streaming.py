@@ -73,36 +73,6 @@ def test_hourly_stream_equals_batch_and_replay_is_idempotent(spark, scratch):
     assert _rows(table.read(), cols) == batch
 
 
-def test_session_stream_equals_batch_for_closed_sessions(spark, scratch):
-    from verdant.operators import sessions as ss
-    logs = fx.logs(spark, SF_SMALL)
-    src = os.path.join(scratch, "bus")
-    _bus_files(spark, logs, src)
-    records = jobs.read_bus_stream(spark, ["log_inout", "log_menuclick", "log_ecopoint",
-                                           "log_lesswaste", "log_nolabel"],
-                                   path=src, max_files_per_trigger=1)
-    out = os.path.join(scratch, "sessions")
-    q = (jobs.session_stream(records).writeStream.outputMode("append").format("parquet")
-         .option("path", out).option("checkpointLocation", os.path.join(scratch, "ckpt"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination(300)
-    got = spark.read.parquet(out)
-    n = got.count()
-    assert n > 0
-    cols = ["member_id", "session_start", "session_end", "n_events"]
-    # The envelope carries event time to the millisecond.
-    batch = ss.session_windows(logs.withColumn("ts", F.date_trunc("millisecond", "ts")),
-                               logout_ends=False).select(
-        "member_id", F.col("session_start").cast("timestamp").alias("session_start"),
-        F.col("session_end").cast("timestamp").alias("session_end"), "n_events")
-    # Every emitted session is one of the batch sessions; the ones not yet
-    # emitted are those the final watermark has not passed.
-    assert got.select(*cols).exceptAll(batch.select(*cols)).count() == 0
-    wm = got.agg(F.max("expires_at")).first()[0]
-    closed = batch.filter(F.col("session_end") + F.expr("INTERVAL 1800 SECONDS") <= F.lit(wm))
-    assert closed.count() == n
-
-
 def test_search_stream_equals_batch(spark, scratch):
     logs = fx.logs(spark, SF_SMALL)
     src = os.path.join(scratch, "bus")
@@ -163,6 +133,9 @@ def test_late_search_rows_are_dropped(spark, scratch):
         q.awaitTermination(300)
     got = {(r.date, r.word): r["count"] for r in table.read().collect()}
     assert got == {("20240103", "a"): 2}
+    late = jobs.late_rows(q)
+    assert late.agg(F.sum("dropped")).first()[0] == 1
+    assert {r.query_id for r in late.collect()} == {str(q.id)}
 
 
 def test_quota_stream_equals_batch_verdicts(spark, scratch):

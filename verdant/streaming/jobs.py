@@ -30,6 +30,7 @@ from verdant.operators import segments as seg
 from verdant.session import stream_checkpoint
 from verdant.sources import envelope as env
 from verdant.sources.sinks import KeyedTable
+from verdant.streaming import member_sessions as ms
 
 BUS_SCHEMA = T.StructType([
     T.StructField("key", T.BinaryType()),
@@ -85,19 +86,28 @@ def search_stream(records: DataFrame, watermark: str = "30 seconds",
 
 def session_stream(records: DataFrame, watermark: str = "10 minutes",
                    time_col: str = "event") -> DataFrame:
-    """W9 as a stream: inactivity sessions per member with ``session_window``
-    (append mode: a session is emitted once the watermark passes its expiry).
-    Windows close by inactivity alone; the cut after a logout is made by the
-    batch form (``session_windows(..., logout_ends=True)``).
-    Events exactly one gap apart stay in one session, as in the batch form;
-    ``session_end`` is the last activity (window end minus the gap)."""
-    logs = decoded_logs(records, time_col)
-    members = logs.filter(F.col("member_id") != S.VISITOR).withWatermark("ts", watermark)
-    gap = f"{S.SESSION_GAP_SECONDS} seconds"
-    agg = members.groupBy("member_id", F.session_window("ts", gap).alias("w")).agg(
-        F.count(F.lit(1)).alias("n_events"), F.max("ts").alias("session_end"))
-    return agg.select("member_id", F.col("w.start").alias("session_start"), "session_end",
-                      F.col("w.end").alias("expires_at"), "n_events")
+    """W9 as a stream: sessions per member that end at a logout or after the gap
+    (append mode: a session is emitted once it has ended). Events exactly one
+    gap apart stay in one session, as in the batch form."""
+    return ms.session_stream(decoded_logs(records, time_col), watermark)
+
+
+def expired_stream(records: DataFrame, watermark: str = "10 minutes",
+                   time_col: str = "event") -> DataFrame:
+    """W10 as a stream: a synthetic logout for each session that ran out,
+    emitted when the watermark passes its expiry."""
+    return ms.expired_stream(decoded_logs(records, time_col), watermark)
+
+
+def late_rows(query: StreamingQuery) -> DataFrame:
+    """Per micro-batch, how many rows came after the watermark and were
+    dropped. Read from the query's own progress records (the last
+    ``spark.sql.streaming.numRecentProgressUpdates`` of them)."""
+    rows = [(str(p["id"]), str(p["runId"]), int(p["batchId"]), str(p["eventTime"].get("watermark", "")),
+             sum(int(o["numRowsDroppedByWatermark"]) for o in p["stateOperators"]))
+            for p in query.recentProgress]
+    return SparkSession.active().createDataFrame(
+        rows, "query_id string, run_id string, batch_id bigint, watermark string, dropped bigint")
 
 
 def start_keyed_upsert(agg: DataFrame, table: KeyedTable, name: str,
