@@ -172,12 +172,16 @@ def points_ledger(logs: DataFrame, time_col: str = "ts") -> DataFrame:
               .agg(F.sum("save_point").cast("bigint").alias("point_amt"))
 
 
+def ledger_sums(parts: DataFrame) -> DataFrame:
+    """Partial ledgers added up per member and month."""
+    return parts.groupBy("member_id", "month_kb").agg(F.sum("point_amt").cast("bigint").alias("point_amt"))
+
+
 def ledger_upsert(ledger: DataFrame, new_points: DataFrame) -> DataFrame:
     """A19, incremental form: add new (member_id, month_kb, point_amt) rows to
     the ledger; a key already present is updated, a new one inserted."""
     cols = ["member_id", "month_kb", "point_amt"]
-    return ledger.select(*cols).unionByName(new_points.select(*cols)) \
-                 .groupBy("member_id", "month_kb").agg(F.sum("point_amt").cast("bigint").alias("point_amt"))
+    return ledger_sums(ledger.select(*cols).unionByName(new_points.select(*cols)))
 
 
 def training_manifest(uploads: DataFrame, results: DataFrame) -> DataFrame:

@@ -58,6 +58,19 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
              WHEN 'error' THEN 'log_error' END AS topic,
     CAST(CASE WHEN key IN ('logout', '2', 'click') THEN 1 ELSE 0 END AS INTEGER) AS partition
   FROM logs0"""),
+    "plogs": (("logs",), """
+  SELECT *, strftime(ts, '%Y-%m-%d %H:%M:%S') AS login_time, strftime(ts, '%Y-%m-%d %H:%M:%S') AS logout_time,
+    strftime(ts, '%Y-%m-%d %H:%M:%S') AS menuclick_time, strftime(ts, '%Y-%m-%d %H:%M:%S') AS eco1upload_time,
+    strftime(ts, '%Y-%m-%d %H:%M:%S') AS eco2upload_time, strftime(ts, '%Y-%m-%d %H:%M:%S') AS searchclick_time,
+    strftime(ts, '%Y-%m-%d %H:%M:%S') AS productclick_time,
+    CASE k % 3 WHEN 0 THEN 'ButtonClicked' WHEN 1 THEN 'BrowserClosed' ELSE 'SessionExpired' END AS logout_method,
+    CASE WHEN k % 5 <> 0 THEN '/page/' || CAST(k AS VARCHAR) END AS menuclick_page,
+    CASE WHEN coalesce(save_point = 0, true) THEN '' ELSE 'photo-' || CAST(event_id AS VARCHAR) END AS photo_id,
+    CASE WHEN coalesce(save_point = 0, true) THEN 'OverCount' ELSE '' END AS fail_msg,
+    CAST(k % 5 + 1 AS INTEGER) AS radius_km,
+    CASE WHEN key = 'lesswaste' THEN [37.0::DOUBLE + (k % 8) / 8.0::DOUBLE, 126.5::DOUBLE + (k % 4) / 4.0::DOUBLE] END
+      AS searchclick_location
+  FROM logs"""),
     "uploads": (("ev",), """
   SELECT event_id, user_id % 10 AS member_id, 1 AS service, ts, CAST(ts AS DATE) AS day,
     CAST(CASE WHEN k % 16 = 0 THEN 20000000 ELSE 1000000 END AS BIGINT) AS size_bytes,

@@ -138,6 +138,22 @@ def logs(spark: SparkSession, data_dir: str, members: bool = True, parts: bool =
               .withColumn("partition", S.route_partition("key"))
 
 
+def payload_logs(spark: SparkSession, data_dir: str) -> DataFrame:
+    """``logs`` with the fields that each event alone writes (rules in FIXTURES.md)."""
+    k, text = F.col("k"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    failed = F.coalesce(F.col("save_point") == 0, F.lit(True))
+    at = F.when(F.col("key") == "lesswaste", F.array(F.lit(37.0) + (k % 8) / F.lit(8.0), F.lit(126.5) + (k % 4) / F.lit(4.0)))
+    return logs(spark, data_dir).select(
+        "*",
+        *[text.alias(c) for c in ("login_time", "logout_time", "menuclick_time", "eco1upload_time", "eco2upload_time",
+                                  "searchclick_time", "productclick_time")],
+        F.when(k % 3 == 0, "ButtonClicked").when(k % 3 == 1, "BrowserClosed").otherwise("SessionExpired").alias("logout_method"),
+        F.when(k % 5 != 0, F.concat(F.lit("/page/"), k.cast("string"))).alias("menuclick_page"),
+        F.when(failed, "").otherwise(F.concat(F.lit("photo-"), F.col("event_id").cast("string"))).alias("photo_id"),
+        F.when(failed, "OverCount").otherwise("").alias("fail_msg"),
+        (k % 5 + 1).cast("int").alias("radius_km"), at.alias("searchclick_location"))
+
+
 # ---------------------------------------------------------------------------
 # uploads (eco-point service 1) and receipts (service 2)
 # ---------------------------------------------------------------------------

@@ -29,6 +29,7 @@ from verdant.operators import points as pt
 from verdant.operators import segments as seg
 from verdant.session import stream_checkpoint
 from verdant.sources import envelope as env
+from verdant.sources import stored
 from verdant.sources.sinks import KeyedTable
 from verdant.streaming import member_sessions as ms
 
@@ -77,7 +78,9 @@ def hourly_stream(records: DataFrame, watermark: str = "1 hour",
 def search_stream(records: DataFrame, watermark: str = "30 seconds",
                   time_col: str = "event") -> DataFrame:
     """A2 as a stream: daily window counts of search words."""
-    logs = decoded_logs(records, time_col)
+    # The bus key tells searches apart before anything is decoded.
+    key = F.col("key").cast("string")
+    logs = decoded_logs(records.filter(key.isNull() | (key == "search")), time_col)
     searches = seg.search_events(logs).withWatermark("ts", watermark)
     agg = seg.search_daily_windows(searches)
     return agg.select(F.date_format("window.start", "yyyyMMdd").alias("date"),
@@ -129,6 +132,22 @@ def start_keyed_upsert(agg: DataFrame, table: KeyedTable, name: str,
     return writer.start()
 
 
+def start_ledger(records: DataFrame, path: str, name: str, trigger: dict | None = None,
+                 checkpoint: str | None = None) -> StreamingQuery:
+    """A19 as a stream: each micro-batch's points are added to the ledger at
+    ``path`` once, also when the batch is run again after a failure; the query's
+    id names the writer."""
+    logs = decoded_logs(records)
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        writer = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        stored.apply_points(df, path, batch_id, writer)
+
+    writer = (logs.writeStream.queryName(name).foreachBatch(write)
+              .option("checkpointLocation", checkpoint or stream_checkpoint(records.sparkSession, name)))
+    return writer.trigger(**(trigger or {"processingTime": "5 minutes"})).start()
+
+
 # ---------------------------------------------------------------------------
 # Daily quota with keyed state and a one-day timeout
 # ---------------------------------------------------------------------------
