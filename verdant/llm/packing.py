@@ -5,9 +5,11 @@ each is a sequence of its own without padding. What remains of a document
 is shorter than a window. Those remainders are dealt at random to groups of
 about ``GROUP_PIECES``; within a group multiway differencing repeatedly
 merges the two partial partitions with the largest imbalance, heaviest
-windows against lightest, which leaves near-equal windows. The number of
-windows starts at the least that can hold the group and rises while any
-window is over capacity.
+windows against lightest, which leaves near-equal windows. One remainder in
+``CHIP_EVERY`` is cut into chips first, so that differencing has small parts
+to even out the large ones. The number of windows starts at the least that can
+hold the group and rises while any window is over capacity; nothing else
+places a part.
 
 Everything is keyed by a piece number, not by doc_id, so repeated or null
 ids, hot sources and copies can't crowd a group.
@@ -33,7 +35,8 @@ from verdant.llm.common import batches_of, groups_of, rows_of, written
 WINDOW = 2_048          # ids of a sequence
 END_ID = 1              # added to every document
 GROUP_PIECES = 512      # remainders per group, on average
-MAX_RISE = 0.01         # share by which the window count rises before pieces are cut
+CHIP_EVERY = 16         # of so many remainders one is cut into chips
+CHIP = 24               # ids of a chip
 CACHE_WORDS = 800_000   # pre-tokens whose ids a worker remembers; only saves time
 PAD_ID = 0
 
@@ -178,38 +181,43 @@ def differencing(sizes: np.ndarray, windows: int) -> np.ndarray:
     return window
 
 
+def chips(sizes: np.ndarray) -> list[tuple[int, int, int]]:
+    """(item, start, length) of the parts that are dealt: items as they are, but
+    every ``CHIP_EVERY``-th, and one at least, in chips of ``CHIP`` ids.
+    Differencing places large parts first, and chips even out what they leave."""
+    n = len(sizes)
+    cut = set(range(CHIP_EVERY - 1, n, CHIP_EVERY)) or ({int(sizes.argmax())} if n else set())
+    return [(i, at, min(CHIP if i in cut else size, size - at))
+            for i, size in enumerate(sizes.tolist()) for at in range(0, size, CHIP if i in cut else size)]
+
+
 def fill(sizes: np.ndarray, capacity: int) -> list[list[tuple[int, int, int]]]:
     """Windows of near-equal load within capacity: lists of (item, start, length).
 
-    The number of windows rises while one is over capacity. After a rise by
-    ``MAX_RISE`` what still exceeds a window is cut off its largest item and
-    laid into windows with room, so padding stays low."""
-    least = max(1, math.ceil(int(sizes.sum()) / capacity))
-    most = max(least, math.floor(least * (1 + MAX_RISE)))
-    for count in range(least, most + 1):
-        window = differencing(sizes, count)
-        load = np.bincount(window, weights=sizes, minlength=count).astype(np.int64)
+    The number of windows starts at the least that can hold the items and rises
+    as long as one is over capacity, by what the imbalance asks for. An item is
+    never over capacity, so it ends with a window for every item. Parts of an
+    item that meet in a window again are joined."""
+    parts = chips(sizes)
+    lengths, total = np.array([p[2] for p in parts], dtype=np.int64), int(sizes.sum())
+    count = max(1, math.ceil(total / capacity))
+    while True:
+        if count >= len(sizes):
+            return [[(i, 0, size)] for i, size in enumerate(sizes.tolist())]
+        window = differencing(lengths, count)
+        load = np.bincount(window, weights=lengths, minlength=count)
         if load.max() <= capacity:
             break
+        over = load.max() - total / count
+        # A quarter of the way to where even this imbalance would fit.
+        far = math.ceil(total / (capacity - over)) if over < capacity else len(sizes)
+        count += max(1, (far - count) // 4)
     out: list[list[tuple[int, int, int]]] = [[] for _ in range(count)]
-    for item, (w, size) in enumerate(zip(window.tolist(), sizes.tolist(), strict=True)):
-        out[w].append((item, 0, size))
-    spare = [(w, capacity - int(load[w])) for w in np.argsort(load, kind="stable").tolist() if load[w] < capacity]
-    for w in np.flatnonzero(load > capacity).tolist():
-        over = int(load[w]) - capacity
-        while over:
-            k = max(range(len(out[w])), key=lambda i: out[w][i][2])
-            item, start, length = out[w][k]
-            to, room = spare.pop()
-            bit = min(over, room, length)
-            out[to].append((item, start + length - bit, bit))
-            if bit < length:
-                out[w][k] = (item, start, length - bit)
-            else:
-                del out[w][k]
-            if bit < room:
-                spare.append((to, room - bit))
-            over -= bit
+    for (item, start, length), w in zip(parts, window.tolist(), strict=True):
+        if out[w] and out[w][-1][0] == item and out[w][-1][1] + out[w][-1][2] == start:
+            out[w][-1] = (item, out[w][-1][1], out[w][-1][2] + length)
+        else:
+            out[w].append((item, start, length))
     return out
 
 
@@ -220,8 +228,8 @@ OUT_DDL = PIECE_DDL.removeprefix("piece bigint, ").removesuffix(", ids binary")
 def pack(cut: DataFrame, window: int = WINDOW, group_pieces: int = GROUP_PIECES, keep_ids: bool = True) -> DataFrame:
     """Give every piece of ``pieces`` its sequence and offset; some are cut once more.
 
-    A sequence's id follows from the smallest piece number at home in it, so
-    ids are unique without counting. ``keep_ids=False`` leaves ``ids`` null.
+    A sequence takes the number of a piece, so ids are unique without counting.
+    Repeated rows and null ids are pieces of their own; null texts count as empty. ``keep_ids=False`` leaves ``ids`` null.
     An empty table gives an empty result; an empty text is one piece with the
     end id alone."""
     full = cut.filter(F.col("length") == window).select(
@@ -233,9 +241,9 @@ def pack(cut: DataFrame, window: int = WINDOW, group_pieces: int = GROUP_PIECES,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for _, held in groups_of(rows_of(batches, "_group", "piece", "doc_id", "start", "doc_tokens", "length", "ids"), 1):
-                for items in fill(np.array([r[5] for r in held], dtype=np.int64), window):
-                    home = [held[i][1] * 2 for i, start, _ in items if not start]
-                    sequence, offset = (min(home) if home else held[items[0][0]][1] * 2 + 1) if items else 0, 0
+                # No more windows than remainders, so each takes the number of one.
+                for (_, number, *_), items in zip(held, fill(np.array([r[5] for r in held], dtype=np.int64), window)):
+                    sequence, offset = 2 * number, 0
                     for i, start, length in items:
                         _, _, doc_id, first, total, _, ids = held[i]
                         part = ids[4 * start:4 * (start + length)]

@@ -227,13 +227,14 @@ RESULT_SCHEMA = pa.schema([("uid", pa.int64()), ("n_removed", pa.int64()), ("n_s
 
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chunk: int = CHUNK, keep_bytes: bool = True) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) of every row.
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept, n_kept) of every row.
 
     A byte goes if a ``length``-byte string that covers it starts anywhere
     else too, in the same or another text. Null texts count as empty; texts
     shorter than ``length`` stay whole; longer texts that occur in two rows
     or more go whole. Repeated rows, null and repeated ids are kept as they
-    are. ``kept`` holds the remaining bytes (null with ``keep_bytes=False``)."""
+    are. ``kept`` holds the remaining bytes (null with ``keep_bytes=False``),
+    ``n_kept`` counts them."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     digest = F.unhex(F.sha2("text", 256)).alias("digest")
     texts = rows.select(digest, "text").groupBy("digest").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
@@ -258,7 +259,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chunk:
     done = texts.select("uid", "text", "copies").join(per_text, "uid", "left").mapInArrow(apply, RESULT_DDL)
     named = texts.select("uid", "digest").join(done, "uid").drop("uid")
     light = rows.select("doc_id", digest, F.octet_length("text").cast("bigint").alias("n_bytes"))
-    return light.join(named, "digest").drop("digest")
+    return light.join(named, "digest").drop("digest").withColumn("n_kept", F.col("n_bytes") - F.col("n_removed"))
 
 
 def op4_suffix_dedup(docs: DataFrame) -> DataFrame:
