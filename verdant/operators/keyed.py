@@ -7,10 +7,13 @@ derived when a sink needs one, and parsed only when a key is all there is.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from verdant.functions import scalars as S
+from verdant.session import checkpoint_dir
 
 COMMON_KEY_PARTS = ["date", "hour", "user_gender", "user_age", "user_region"]
 SEARCH_KEY_PARTS = ["date", "gender", "age", "word"]
@@ -27,28 +30,36 @@ def split_keys(df: DataFrame, parts: list[str], key: str = "key") -> DataFrame:
     return df.select("*", *[c.alias(n) for c, n in zip(cols, parts)])
 
 
+def _numeric_checks(columns: list[str]) -> list:
+    return [F.bool_and(F.col(c).isNull() | F.col(c).try_cast(t).isNotNull()).alias(f"{c}__{t}")
+            for c in columns for t in ("bigint", "double")]
+
+
+def _numeric_types(found: dict, columns: list[str]) -> dict[str, str]:
+    return {c: "bigint" if found[f"{c}__bigint"] else "double" if found[f"{c}__double"] else "string"
+            for c in columns}
+
+
 def numeric_columns(df: DataFrame, columns: list[str]) -> dict[str, str]:
     """Type each text column would take: ``bigint`` or ``double`` when every
     non-null value parses, else it stays ``string``. One aggregate pass."""
-    aggs = []
-    for c in columns:
-        for t in ("bigint", "double"):
-            ok = F.col(c).isNull() | F.col(c).try_cast(t).isNotNull()
-            aggs.append(F.bool_and(ok).alias(f"{c}__{t}"))
-    row = df.agg(*aggs).first()
-    out = {}
-    for c in columns:
-        out[c] = "bigint" if row[f"{c}__bigint"] else "double" if row[f"{c}__double"] else "string"
-    return out
+    return _numeric_types(df.agg(*_numeric_checks(columns)).first().asDict(), columns)
 
 
 def coerce_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Cast every text column that is wholly numeric; others keep text.
-    Two passes over the input: the type decision (one row), then the cast."""
+    The input is computed once: the pass that writes it into the shared folder
+    also observes which columns parse, and the cast reads what was written."""
     columns = columns or [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    types = numeric_columns(df, columns)
-    return df.select(*[F.col(c).try_cast(types[c]).alias(c) if types.get(c, "string") != "string"
-                       else F.col(c) for c in df.columns])
+    if not columns:
+        return df
+    name = f"numeric-{uuid.uuid4().hex}"
+    seen, path = Observation(name), f"{checkpoint_dir(df.sparkSession)}/tables/{name}"
+    df.observe(seen, *_numeric_checks(columns)).write.parquet(path)
+    types = _numeric_types(seen.get, columns)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored.select(*[F.col(c).try_cast(types[c]).alias(c) if types.get(c, "string") != "string"
+                           else F.col(c) for c in df.columns])
 
 
 def latest_by_key(df: DataFrame, keys: list[str], version: list[str],

@@ -41,8 +41,8 @@ def q_encode_envelope(spark, d):
 SELECT event_id, strftime(ts + INTERVAL 9 HOUR, '%Y-%m-%dT%H:%M:%S.%gZ') AS wall_time
 FROM logs""", "logs"))
 def q_wall_time(spark, d):
-    encoded = env.encode_envelope(fx.logs(spark, d), offset_hours=9, keep=("event_id",))
-    return encoded.select("event_id", F.get_json_object("value", "$.timestamp").alias("wall_time"))
+    logs = fx.logs(spark, d, members=False, parts=False)
+    return logs.select("event_id", S.wall_time_text("ts").alias("wall_time"))
 
 
 @register("simple_values", with_views("""

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from verdant.functions import scalars as S
+from verdant.operators import keyed as kt
 from verdant.operators import members as mb
 from verdant.operators import points as pt
 from verdant.operators import segments as seg
@@ -264,15 +265,21 @@ JOIN (SELECT * FROM top WHERE date = '{fx.DASHBOARD_DAY}') t ON m.{by} = t.{by}"
                                                 "top": _top_body(by)})
 
 
+def _day_searches(spark, d):
+    """The search counts of one day; its time range reaches the scan."""
+    start, end = kt.day_range(fx.DASHBOARD_DAY)
+    return seg.search_daily(fx.logs(spark, d, types=("view",)).filter((F.col("ts") >= start) & (F.col("ts") < end)))
+
+
 @register("member_top5_age", _member_top_sql("age"))
 def q_member_top5_age(spark, d):
-    top = mb.top_words(seg.search_daily(fx.logs(spark, d, types=("view",))), "age")
+    top = mb.top_words(_day_searches(spark, d), "age")
     return mb.member_top_words(fx.members(spark, d), top, fx.DASHBOARD_DAY, "age", AS_OF_DAY)
 
 
 @register("member_top5_gender", _member_top_sql("gender"))
 def q_member_top5_gender(spark, d):
-    top = mb.top_words(seg.search_daily(fx.logs(spark, d, types=("view",))), "gender")
+    top = mb.top_words(_day_searches(spark, d), "gender")
     return mb.member_top_words(fx.members(spark, d), top, fx.DASHBOARD_DAY, "gender", AS_OF_DAY)
 
 
