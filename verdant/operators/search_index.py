@@ -25,6 +25,7 @@ from verdant.session import materialize
 K1 = 1.2
 B = 0.75
 TOP_K = 30
+BROADCAST_ROWS = 200_000   # query terms (about 100 bytes each) that every executor may hold
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
 
@@ -51,7 +52,10 @@ def postings(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
     """(field, term, doc_id, tf) plus each document's field length ``dl``."""
     out = None
     for f in fields:
-        toks = docs.select("doc_id", tokens(f).alias("toks"))
+        toks = docs.select("doc_id", f).repartition("doc_id").select("doc_id", tokens(f).alias("toks"))
+        # Dealt out by document before the regex split, which a table of few files
+        # would run in as few tasks; the grouping then finds a document's rows
+        # together, so texts are shuffled once and postings never.
         # explode_outer: plain explode would add an inferred size(toks) > 0
         # filter that evaluates the regex split a second time.
         p = toks.select("doc_id", F.size("toks").alias("dl"), F.explode_outer("toks").alias("term")) \
@@ -91,6 +95,16 @@ def query_terms(queries: DataFrame, text: str = "query") -> DataFrame:
     return q.select("query_id", F.explode(F.array_distinct(tokens(text))).alias("term"))
 
 
+def _meet(weights: DataFrame, post: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
+    """Materialized query terms joined with the postings. The planner's estimate
+    of exploded texts is that of the few bytes they are stored in, so it would
+    broadcast the postings, which grow with the corpus. Counted query terms up
+    to ``bound`` rows are broadcast, so postings stay where they are; beyond it
+    both sides are sorted and merged, hot terms split. Same rows either way."""
+    small = weights.count() <= bound
+    return (F.broadcast(weights) if small else weights.hint("merge")).join(post, ["field", "term"])
+
+
 def bm25_search(queries: DataFrame, docs: DataFrame, fields: Sequence[str],
                 k: int = TOP_K, k1: float = K1, b: float = B,
                 score_digits: int = 6) -> DataFrame:
@@ -105,10 +119,8 @@ def bm25_search(queries: DataFrame, docs: DataFrame, fields: Sequence[str],
     # Weights per (query, field, term) first; then one join with the postings.
     qt = query_terms(queries).join(dfreq, "term")
     idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = qt.select("query_id", "field", "term", idf.alias("idf"), avgdl.alias("avgdl"))
-    # Which side builds the hash table is the planner's choice by bytes; beyond
-    # the broadcast bound the join shuffles and splits hot terms.
-    hits = weights.join(post, ["field", "term"])
+    weights = materialize(qt.select("query_id", "field", "term", idf.alias("idf"), avgdl.alias("avgdl")))
+    hits = _meet(weights, post)
     norm = F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl"))
     term_score = F.col("idf") * F.col("tf") * (k1 + 1) / norm
     # Sum per field and best field in one aggregation: the fields are known

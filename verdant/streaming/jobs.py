@@ -15,6 +15,7 @@ only the source, a watermark, the output mode and the sink:
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -42,11 +43,29 @@ BUS_SCHEMA = T.StructType([
 ])
 
 
+def first_start(spark: SparkSession, folder: str) -> int:
+    """The instant (microseconds) at which a job first began, kept in ``folder``
+    beside its checkpoint, so that a restart goes on from there."""
+    now = [(time.time_ns() // 1000,)]
+    spark.createDataFrame(now, "micros bigint").coalesce(1).write.mode("ignore").json(folder)
+    kept = spark.read.schema("micros bigint").json(folder).agg(F.min("micros").alias("micros")).first().micros
+    if kept is None:
+        raise ValueError(f"{folder} holds no start; it was left behind unfinished")
+    return kept
+
+
 def read_bus_stream(spark: SparkSession, topics: Sequence[str], path: str | None = None,
                     servers: str | None = None, starting: str = "earliest",
-                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Bus records of ``topics`` as a stream. With ``servers`` this is
-    the bus connector; otherwise a folder of bus-record parquet files."""
+                    max_files_per_trigger: int | None = None,
+                    start_folder: str | None = None) -> DataFrame:
+    """Bus records of ``topics`` as a stream, from the ``earliest`` or the
+    ``latest`` record on. With ``servers`` this is the bus connector; otherwise a
+    folder of bus-record parquet files, of which ``latest`` leaves out those
+    written before the job's first start. That start is kept in
+    ``start_folder``, as the connector keeps its offsets in the checkpoint:
+    what arrives while the job is down is read after a restart."""
+    if starting not in ("earliest", "latest"):
+        raise ValueError(f"starting is earliest or latest, not {starting}")
     if servers:
         return (spark.readStream.format("kafka")
                 .option("kafka.bootstrap.servers", servers)
@@ -55,7 +74,14 @@ def read_bus_stream(spark: SparkSession, topics: Sequence[str], path: str | None
     reader = spark.readStream.schema(BUS_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(path).filter(F.col("topic").isin(list(topics)))
+    records = reader.parquet(path).filter(F.col("topic").isin(list(topics)))
+    if starting == "latest":
+        if not start_folder:
+            raise ValueError("latest on a folder needs start_folder")
+        # File times may be cut to whole milliseconds.
+        since = first_start(spark, start_folder) // 1000 * 1000
+        records = records.filter(F.unix_micros("_metadata.file_modification_time") >= since)
+    return records
 
 
 def decoded_logs(records: DataFrame, time_col: str = "event") -> DataFrame:
