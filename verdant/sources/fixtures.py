@@ -64,6 +64,28 @@ PART_COLUMNS = ("search_word", "product_name", "product_volume", "product_unitpr
 MEMBER_COLUMNS = ("member_id", "user_gender", "user_age", "user_region")
 
 
+#: Parts that events name are broadcast up to this many; beyond, both sides are merged.
+FEW_PARTS = 10_000
+
+
+def _named_parts(ev: DataFrame, part: DataFrame) -> DataFrame:
+    """The side of ``part`` that events are joined to.
+
+    A ``part`` within Catalyst's broadcast bound stays as it is. Beyond it, events
+    would be shuffled by ``k``, of which few values hold all events; so the
+    distinct ``k`` are read first and the counted rows of those parts are
+    broadcast. Where they are too many, the join is left to Catalyst."""
+    spark = part.sparkSession
+    bound = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if int(str(part._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= bound:
+        return part
+    keys = [r.k for r in ev.select("k").filter("k IS NOT NULL").distinct().limit(FEW_PARTS + 1).collect()]
+    if len(keys) > FEW_PARTS:
+        return part
+    named = part.filter(F.col("p_partkey").isin(keys))
+    return F.broadcast(named) if named.limit(FEW_PARTS + 1).count() <= FEW_PARTS else part
+
+
 def logs(spark: SparkSession, data_dir: str, members: bool = True, parts: bool = True,
          types: tuple[str, ...] = ()) -> DataFrame:
     """Flattened events. ``members`` and ``parts`` ask for the columns of those
@@ -77,6 +99,7 @@ def logs(spark: SparkSession, data_dir: str, members: bool = True, parts: bool =
     # Joined to the raw dimension scans (not to the derived member table), so
     # Catalyst sizes each side from its files: small sides are broadcast,
     # a large customer table is sort-merge joined with AQE skew splitting.
+    # A large part table is first cut to the parts that the events name.
     c = table(spark, data_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, data_dir, "nation").select("n_nationkey", "n_regionkey")
     r = table(spark, data_dir, "region").select("r_regionkey", "r_name")
@@ -84,7 +107,7 @@ def logs(spark: SparkSession, data_dir: str, members: bool = True, parts: bool =
                                                  "p_retailprice")
     j = ev
     if parts:
-        j = j.join(part, ev.k == part.p_partkey, "left")
+        j = j.join(_named_parts(ev, part), F.col("k") == F.col("p_partkey"), "left")
     if members:
         j = (j.join(c, ev.user_id == c.c_custkey, "left")
               .join(n, F.col("c_nationkey") == n.n_nationkey, "left")
