@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from verdant.llm.common import batches_of, rows_of, work_dir, written
 
 FILE_BYTES = 32 << 20       # payload bytes of a file
+READ_TASKS = 100_000        # tasks that read archives back; a file each, up to this number
 MIN_REVISIT = 1_000         # shorter payloads are stored every time
 DICT_BYTES = 64 << 10       # size of a dictionary
 SAMPLE_BYTES = 4 << 20      # bytes that a dictionary is built from
@@ -206,7 +207,9 @@ def read_archives(manifest: DataFrame, keep_payload: bool = True) -> DataFrame:
 
         yield from batches_of(rows(), PAGE_SCHEMA, 256)
 
-    return manifest.select("file").repartition("file").mapInArrow(read, PAGE_DDL)
+    # A stated number, so that the few rows of a manifest aren't put together into one task.
+    tasks = max(1, min(manifest.count(), READ_TASKS))
+    return manifest.select("file").repartition(tasks).mapInArrow(read, PAGE_DDL)
 
 
 def op1_warc(pages: DataFrame) -> DataFrame:
