@@ -10,7 +10,9 @@ against the paths of the rules on the stack.
 
 Range bounds come from a random sample of the rows, as pairs of key and row
 hash, so a host with a third of all rows is spread over many ranges; they
-decide where a row is judged, never how.
+decide where a row is judged, never how. There are as many ranges as the
+cluster has use for, not as the rows: a sweep streams its range, so ranges
+may be of any length, and the sample and the bounds don't grow with the input.
 """
 
 from __future__ import annotations
@@ -19,12 +21,13 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdant.llm.common import batches_of, rows_of, written
 
-RANGE_ROWS = 200_000   # URLs of a range, on average
+RANGE_ROWS = 200_000   # URLs of a range, at least on average
+RANGES_PER_CORE = 4    # ranges at most, for each core or shuffle partition
 SAMPLE_PER_RANGE = 20  # sampled rows behind a bound
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -74,6 +77,11 @@ def sweep(rows: Iterator[tuple], default: str) -> Iterator[tuple]:
         yield page_id, host, path, *best
 
 
+def most_ranges(spark: SparkSession) -> int:
+    """What the cluster has use for: some ranges per core or shuffle partition."""
+    return RANGES_PER_CORE * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
     """(page_id, host, path, rule, verdict) of every row of ``pages``.
 
@@ -88,7 +96,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     urls = pages.select(F.col("page_id").cast("bigint").alias("page_id"), host.alias("host"), path.alias("path"))
     urls = written(urls.withColumn("key", host_key(F.col("host")))
                    .withColumn("salt", F.xxhash64(F.monotonically_increasing_id())), "urls")
-    ranges = urls.count() // RANGE_ROWS + 1
+    ranges = min(urls.count() // RANGE_ROWS + 1, most_ranges(pages.sparkSession))
     sample = urls.select("key", "salt").orderBy("salt").limit(ranges * SAMPLE_PER_RANGE).collect() if ranges > 1 else []
     sample = sorted((r.key, r.salt) for r in sample)
     bounds = sorted({sample[k * len(sample) // ranges] for k in range(1, ranges)}) if sample else []
