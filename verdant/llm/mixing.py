@@ -98,6 +98,21 @@ def weights(sources: DataFrame, target_entropy: float = TARGET_ENTROPY, max_pass
     return out.withColumn("part", F.col("budget") - F.col("whole") * F.col("tokens"))
 
 
+def _offsets(totals: DataFrame, head: int) -> DataFrame:
+    """(source, pass, range, base): the tokens before each range of a pass.
+
+    Summed in two levels, over ranges that share their first ``head`` digits and
+    over those heads, so no window holds all ranges of a source."""
+    level = ["source", "pass", "head"]
+    totals = totals.withColumn("head", F.substring("range", 1, head))
+    across = Window.partitionBy("source", "pass").orderBy("head").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*level).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    heads = totals.groupBy(*level).agg(F.sum("held").alias("held")).select(
+        *level, F.coalesce(F.sum("held").over(across), F.lit(0)).alias("before"))
+    return totals.withColumn("own", F.coalesce(F.sum("held").over(inside), F.lit(0))).join(heads, level) \
+        .select("source", "pass", "range", (F.col("before") + F.col("own")).alias("base"))
+
+
 def mix(rows: DataFrame, target_entropy: float = TARGET_ENTROPY, max_passes: float = MAX_PASSES,
         budget: int | None = None) -> DataFrame:
     """(ROW, doc_id, source, tokens, pass, start): the passes in which a row
@@ -119,9 +134,7 @@ def mix(rows: DataFrame, target_entropy: float = TARGET_ENTROPY, max_passes: flo
     key = F.md5(F.concat(F.col("pass").cast("string"), F.lit("/"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
                 .cast("binary"))
     passed = passed.withColumn("key", key).withColumn("range", F.substring("key", 1, digits))
-    totals = passed.groupBy("source", "pass", "range").agg(F.sum("tokens").alias("held"))
-    before = Window.partitionBy("source", "pass").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("base", F.coalesce(F.sum("held").over(before), F.lit(0))).drop("held")
+    offsets = _offsets(passed.groupBy("source", "pass", "range").agg(F.sum("tokens").alias("held")), max(1, digits // 2))
     inside = Window.partitionBy("source", "pass", "range").orderBy("key", "doc_id", "tokens", ROW) \
         .rowsBetween(Window.unboundedPreceding, -1)
     placed = passed.join(offsets, ["source", "pass", "range"]).withColumn(
