@@ -18,6 +18,7 @@ from __future__ import annotations
 import time
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -190,33 +191,47 @@ QUOTA_STATE = T.StructType([
 STATE_TTL_MS = 86400 * 1000   # the cache entry lives one day after its last write
 
 
+def quota_verdicts(rows: pd.DataFrame, service: int, count: int, last_pic: int | None) -> tuple[np.ndarray, int, int | None]:
+    """Verdicts of one member's, service's and day's ordered rows, and the state after them.
+
+    The state changes with an accepted upload alone, of which a day has at most
+    the cap; between two of them all rows are decided at once."""
+    cap, n = S.DAILY_CAP[service], len(rows)
+    pre, post = rows["pre_code"].to_numpy(object), rows["post_code"].to_numpy(object)
+    coded, failed = ~pd.isna(pre), ~pd.isna(post)
+    pic = rows["pic_time"].to_numpy("datetime64[us]").view("int64")     # a missing time is the least number
+    missing = np.iinfo("int64").min
+    verdict = np.where(coded, pre, np.where(failed, post, pt.ACCEPTED)).astype(object)
+    at = 0
+    while at < n:
+        rest = slice(at, n)
+        free = ~coded[rest]
+        last = missing if last_pic is None else last_pic
+        repeat = free & (pic[rest] == last) if service == 1 and count == 1 else np.zeros(n - at, bool)
+        over = free & ~repeat if count >= cap else np.zeros(n - at, bool)
+        accepted = np.flatnonzero(free & ~repeat & ~over & ~failed[rest])
+        end = n if not len(accepted) else at + int(accepted[0])
+        verdict[at:end][repeat[:end - at]] = "ImgDuplicated"
+        verdict[at:end][over[:end - at]] = "OverCount"
+        if end < n:
+            count, last_pic = count + 1, None if pic[end] == missing else int(pic[end])
+        at = end + 1
+    return verdict, count, last_pic
+
+
 def _quota(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One member, service and day: replay the daily rule row by row in
-    event-time order within the micro-batch. Rows of the stream arrive in
-    event-time order per member, as the requests did."""
+    """One member, service and day, in event-time order within the micro-batch.
+    Rows of the stream arrive in event-time order per member, as the requests did."""
     if state.hasTimedOut:
         state.remove()
         return
     count, last_pic = state.get if state.exists else (0, None)
-    out = []
     pdf = pd.concat(list(frames), ignore_index=True).sort_values(["ts", "event_id"])
-    for r in pdf.itertuples(index=False):
-        r_pic = None if pd.isna(r.pic_time) else int(pd.Timestamp(r.pic_time).value // 1000)
-        verdict = None if pd.isna(r.pre_code) else r.pre_code
-        if verdict is None:
-            if int(r.service) == 1 and count == 1 and last_pic == r_pic:
-                verdict = "ImgDuplicated"
-            elif count >= S.DAILY_CAP[int(r.service)]:
-                verdict = "OverCount"
-        if verdict is None and not pd.isna(r.post_code):
-            verdict = r.post_code
-        if verdict is None:
-            verdict, count, last_pic = pt.ACCEPTED, count + 1, r_pic
-        out.append((int(r.event_id), int(r.member_id), int(r.service), verdict))
+    verdict, count, last_pic = quota_verdicts(pdf, int(key[1]), count, last_pic)
     state.update((count, last_pic))
     last_ms = int(pd.Timestamp(pdf["ts"].max()).value // 10**6)
     state.setTimeoutTimestamp(max(last_ms + STATE_TTL_MS, state.getCurrentWatermarkMs() + 1))
-    yield pd.DataFrame(out, columns=["event_id", "member_id", "service", "verdict"])
+    yield pdf[["event_id", "member_id", "service"]].assign(verdict=verdict)
 
 
 def quota_stream(uploads: DataFrame, watermark: str = "1 hour") -> DataFrame:
