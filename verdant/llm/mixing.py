@@ -155,7 +155,10 @@ def op10_mix_sources(docs: DataFrame) -> DataFrame:
 
 
 def stage_mix(docs: DataFrame) -> DataFrame:
-    """``docs`` with every row once per appearance, all columns kept."""
+    """``docs`` with every row once per appearance, all columns kept. Rows without
+    tokens (null and empty texts) appear, rows that repeat are placed one by one,
+    a null source is a source of its own; an empty table stays empty. No column
+    may carry the name of ``ROW``."""
     rows = with_row_ids(docs, "mix-docs")
     light = written(measured(rows), "mix-rows")
     picks = mix(light).select(F.col(ROW).alias("_picked_row"))

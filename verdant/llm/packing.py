@@ -111,7 +111,10 @@ class WordTokenizer:
 
 def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """Tokenise whole texts and cut them: full windows and one remainder. The
-    table is written, so every later step sees the same piece numbers."""
+    table is written, so every later step sees the same piece numbers. Null
+    texts count as empty and give one piece, the end id; rows that repeat and
+    null ids are cut as they are; an empty table gives an empty result. Only
+    doc_id and text are read, whatever other columns there are."""
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

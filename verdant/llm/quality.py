@@ -217,7 +217,9 @@ def op7_quality_classifier(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def stage_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents that the classifier rejects."""
+    """``docs`` without the documents that the classifier rejects. Null and empty
+    texts have a score as others do; rows that repeat stay or go together; an
+    empty table stays empty; all columns are kept, whatever their names."""
     model = fit(docs, labels)
 
     def accept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -100,7 +100,8 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int, block: int = BLOCK) -> Da
     ``rows`` and ``queries`` come from ``vectors``, written, queries being rows
     too. A query's own row is no candidate; rows that repeat its id are. Ties
     go to the smaller vec_id. Fewer than k candidates give fewer rows, scores
-    beyond 64 bits are held at the largest number."""
+    beyond 64 bits are held at the largest number. Without rows or queries the
+    result is empty; columns but ``ROW``, vec_id and parts aren't read."""
     size = rows.agg(F.count("*").alias("n"), F.max(F.size("parts")).alias("dims")).first()
     blocks, dims = max(1, -(-size.n // block)), max(1, size.dims or 0)
     held = rows.withColumn("block", F.pmod(F.xxhash64(ROW), F.lit(blocks)).cast("int")).withColumn("kind", F.lit(0))
