@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdant.functions import scalars as S
+from verdant.session import materialize
 
 ACCEPTED = ""
 KEYS = ["member_id", "day"]
@@ -129,9 +130,19 @@ def daily_cap(uploads: DataFrame, cap: int = S.DAILY_CAP[1]) -> DataFrame:
     return accepted_rows(upload_candidates(uploads), cap, "pic_time")
 
 
-def fail_codes(verdicts: DataFrame) -> DataFrame:
-    """Outcome counts per service."""
-    return verdicts.groupBy("service", "verdict").agg(F.count(F.lit(1)).alias("n"))
+def fail_codes(uploads: DataFrame, receipts: DataFrame, keywords=S.RECEIPT_KEYWORDS) -> DataFrame:
+    """Outcome counts per service. Both services' requests are coded once,
+    into one narrow table; the quotas' two readers, the accepted rows and the
+    requests they are joined to, start from that table."""
+    narrow = ["event_id", "member_id", "day", "service", "ts"]
+    matched = F.col("matched") if "matched" in receipts.columns else S.contains_any("ocr_text", keywords)
+    coded = materialize(
+        uploads.select(*narrow, "pic_time", upload_pre().alias("pre"), upload_post().alias("post")).unionByName(
+            receipts.select(*narrow, F.lit(None).cast("timestamp_ntz").alias("pic_time"),
+                            F.lit(None).cast("string").alias("pre"), receipt_post(matched).alias("post"))))
+    verdicts = [apply_quota(coded.filter(F.col("service") == service), F.col("pre"), F.col("post"), S.DAILY_CAP[service], dedupe)
+                for service, dedupe in ((1, "pic_time"), (2, None))]
+    return verdicts[0].unionByName(verdicts[1]).groupBy("service", "verdict").agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---------------------------------------------------------------------------

@@ -101,9 +101,7 @@ SELECT service, verdict, count(*) AS n FROM (
   SELECT service, verdict FROM verdicts UNION ALL SELECT service, verdict FROM rverdicts)
 GROUP BY 1, 2""", "uploads", "receipts", extra={**UPLOAD_EXTRA, **RECEIPT_EXTRA}))
 def q_fail_codes(spark, d):
-    v1 = pt.upload_verdict(fx.uploads(spark, d))
-    v2 = pt.receipt_verdict(fx.receipts(spark, d, keywords=KW), KW)
-    return pt.fail_codes(v1.unionByName(v2))
+    return pt.fail_codes(fx.uploads(spark, d), fx.receipts(spark, d, keywords=KW), KW)
 
 
 @register("dup_upload", with_views("""
