@@ -83,3 +83,17 @@ def test_postings_are_never_broadcast(spark):
     plan = QUERIES["doc_search"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     build = plan[plan.index("BroadcastExchange"):]
     assert "BuildLeft" in plan and plan.count("BroadcastExchange") == 1 and "tf#" not in build.split("Scan ExistingRDD")[1]
+
+
+def test_a_tokenising_task_holds_no_more_of_a_larger_table(spark, monkeypatch):
+    monkeypatch.setattr(si, "TASK_BYTES", 1_000)
+    parts = []
+    for n in (200, 800):
+        docs = spark.createDataFrame([(i, "red green tea pot " * 5) for i in range(n)], "doc_id bigint, text string")
+        post = si.postings(docs, ["text"])
+        assert post.count() == 4 * n and post._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+        parts.append(post.rdd.getNumPartitions())
+    assert parts == [18, 72]
+    rows = [sorted(map(str, si.postings(spark.createDataFrame(DOCS, SCHEMA), ["title", "volume"]).collect()))]
+    monkeypatch.undo()
+    assert rows == [sorted(map(str, si.postings(spark.createDataFrame(DOCS, SCHEMA), ["title", "volume"]).collect()))]

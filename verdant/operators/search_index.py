@@ -15,6 +15,7 @@ scored against a postings table with joins and aggregates:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +27,7 @@ K1 = 1.2
 B = 0.75
 TOP_K = 30
 BROADCAST_ROWS = 200_000   # query terms (about 100 bytes each) that every executor may hold
+TASK_BYTES = 8 << 20       # text of a tokenising task, whose term counts take about 40 times as much
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
 
@@ -48,11 +50,23 @@ def catalog_clean(raw: DataFrame, key: Sequence[str] = ("title", "volume")) -> D
         F.col("_f.doc_id").alias("doc_id"), *key, F.col("_f.price_unit").alias("price_unit"))
 
 
+def _dealt(docs: DataFrame, field: str, size: int) -> DataFrame:
+    """(doc_id, field) dealt out by document, about ``TASK_BYTES`` of the
+    ``size`` bytes of text to a task. The planner deals a table by a fixed
+    number, so its tasks would grow with the table."""
+    rows = docs.select("doc_id", field)
+    tasks = math.ceil(size / TASK_BYTES)
+    if tasks <= 1:
+        return rows.repartition("doc_id")
+    return rows.repartition(max(tasks, docs.sparkSession.sparkContext.defaultParallelism), "doc_id")
+
+
 def postings(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
     """(field, term, doc_id, tf) plus each document's field length ``dl``."""
+    sizes = docs.agg(*[F.coalesce(F.sum(F.octet_length(f)), F.lit(0)).alias(f) for f in fields]).first()
     out = None
     for f in fields:
-        toks = docs.select("doc_id", f).repartition("doc_id").select("doc_id", tokens(f).alias("toks"))
+        toks = _dealt(docs, f, sizes[f]).select("doc_id", tokens(f).alias("toks"))
         # Dealt out by document before the regex split, which a table of few files
         # would run in as few tasks; the grouping then finds a document's rows
         # together, so texts are shuffled once and postings never.
