@@ -8,6 +8,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from test_operators import DDL, rows
 
 from verdant.llm import common, mixing, packing, quality, suffix_dedup, url_rules, vector_files, warc
@@ -66,6 +67,51 @@ def test_repeats_across_the_border_of_a_piece(spark, monkeypatch):
     assert [tuple(r) for r in suffix_dedup.op4_suffix_dedup(table).orderBy("doc_id").collect()] == want
 
 
+def test_a_passage_in_most_texts_is_not_dealt_to_one_task(spark):
+    ddl = "uid bigint, anchor bigint, p bigint, s0 bigint, s1 bigint"
+    rows = [(i, 7 if i % 4 else 1000 + i // 8, 9, 0, i % 5) for i in range(4000)] + [(4000, 5, 0, 0, 0)]
+    anchors = common.written(spark.createDataFrame(rows, ddl).repartition(8), "anchors")
+    shared = suffix_dedup.shared_segments(anchors, chunk=100)
+    total = collections.Counter(r[1] for r in rows)
+    assert collections.Counter((r.uid, r.anchor, r.p, r.s0, r.s1, r.hot) for r in shared.collect()) == collections.Counter(
+        (*r, total[r[1]] > 100) for r in rows if total[r[1]] > 1)
+    placed = collections.Counter(r[0] for r in shared.filter("hot").select(F.spark_partition_id()).collect())
+    assert sum(placed.values()) == 3000 and max(placed.values()) < 1000
+
+    places = [(r[0], a) for r in rows if r[1] == 7 for a in range(r[4] + 1)]
+    strings = spark.createDataFrame([(u, a, a % 2, u if u % 50 == 1 else 0) for u, a in places], "uid bigint, a bigint, h1 bigint, h2 bigint")
+    crowded = anchors.filter("anchor = 7").select("uid", "s0", "s1")
+    runs = suffix_dedup.hot_runs(crowded, strings)
+    times = collections.Counter((a % 2, u if u % 50 == 1 else 0) for u, a in places)
+    got = collections.Counter((r.uid, a) for r in runs.collect() for a in range(r.a, r.b + 1))
+    assert got == collections.Counter((u, a) for u, a in places if times[a % 2, u if u % 50 == 1 else 0] > 1)
+    assert 0 < sum(got.values()) < len(places)
+    plan = runs._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Join" in x and ("h1" in x or "h2" in x)]
+
+
+def test_hot_passage_with_own_endings_equals_brute_force(spark):
+    # One passage in every text, some of them copied in two texts with what follows, and twice in one.
+    rnd = random.Random(4)
+    passage = "".join(rnd.choices("abcdé ", k=420))
+    tails = ["".join(rnd.choices("xyz", k=300)) for _ in range(20)]
+    texts = [f"{i:05d}" + passage + tails[i % 20][:rnd.randint(1, 300)] + f"{i:05d}" for i in range(40)] + [passage + "-" + passage, None, "", passage[:399]]
+    data = [(t or "").encode() for t in texts]
+    count = collections.Counter(d[i:i + 400] for d in data for i in range(len(d) - 399))
+    want = collections.Counter()
+    for k, d in enumerate(data):
+        gone = bytearray(len(d))
+        for i in range(len(d) - 399):
+            if count[d[i:i + 400]] > 1:
+                gone[i:i + 400] = b"\1" * 400
+        kept = bytes(c for c, g in zip(d, gone, strict=True) if not g)
+        want[(k, len(d), sum(gone), sum(1 for i, g in enumerate(gone) if g and not (i and gone[i - 1])), hashlib.sha256(kept).hexdigest())] += 1
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for chunk in (8, 32_768):
+        got = suffix_dedup.suffix_dedup(table, chunk=chunk)
+        assert collections.Counter(tuple(r)[:5] for r in got.collect()) == want
+
+
 def test_starts_are_the_same_over_many_hash_ranges(spark, monkeypatch):
     table = spark.createDataFrame([(i, "w " * (i % 13), "big" if i % 3 else None) for i in range(900)],
                                   "doc_id bigint, text string, source string")
