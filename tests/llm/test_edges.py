@@ -67,6 +67,20 @@ def test_repeats_across_the_border_of_a_piece(spark, monkeypatch):
     assert [tuple(r) for r in suffix_dedup.op4_suffix_dedup(table).orderBy("doc_id").collect()] == want
 
 
+def test_passages_of_many_words_go_by_their_bytes(spark):
+    # Over 50 words each, in two texts: 399 bytes stay, 400 go; a smaller length takes both.
+    rnd = random.Random(8)
+    passages = ["".join(rnd.choices("abcdef", k=n)) for n in (399, 400)]
+    passages = [" ".join(p[i:i + 5] for i in range(0, len(p), 6)).ljust(len(p), "z") for p in passages]
+    assert [len(p) for p in passages] == [399, 400] and min(len(p.split()) for p in passages) > 50
+    texts = [a + p + b for p in passages for a, b in ("gk", "hl")]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    removed = {r.doc_id: r.n_removed for r in suffix_dedup.op4_suffix_dedup(table).collect()}
+    assert removed == {0: 0, 1: 0, 2: 400, 3: 400}
+    removed = {r.doc_id: r.n_removed for r in suffix_dedup.suffix_dedup(table, length=256).collect()}
+    assert removed == {0: 399, 1: 399, 2: 400, 3: 400}
+
+
 def test_a_passage_in_most_texts_is_not_dealt_to_one_task(spark):
     ddl = "uid bigint, anchor bigint, p bigint, s0 bigint, s1 bigint"
     rows = [(i, 7 if i % 4 else 1000 + i // 8, 9, 0, i % 5) for i in range(4000)] + [(4000, 5, 0, 0, 0)]
